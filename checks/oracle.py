@@ -292,7 +292,7 @@ QUERIES: dict[str, str] = {
     "counties_ref": f"select county_fips_code, state_fips_code, state_name, county_name, {WKT} as county_geom from ref",
     "init_time_list": f"select init_time, count(*) as forecast_rows from fx_flat where init_time in ({INITS}) group by 1",
     "forecast_scan": f"""
-        select cell_id, lon, lat, init_time, cast(3 as bigint) as n_steps from fx_flat where init_time in ({INITS})""",
+        select cell_id, lon, lat, init_time, cast(1 as bigint) as n_steps from fx_flat where init_time in ({INITS})""",
     "explode_forecast": "select * from steps",
     "cell_features": "select * from cell_wx",
     "aoi_filter": "select * from aoi",
@@ -373,5 +373,10 @@ QUERIES: dict[str, str] = {
     "threshold_sweep": _sweep(),
 }
 
+def portable(name: str) -> str:
+    casts = ", ".join(f"cast({c} as {t}) as {c}" for c, t in FX.COMPARED_AS.get(name, {}).items())
+    return f"select * replace ({casts}) from ({QUERIES[name]})" if casts else QUERIES[name]
+
+
 def oracle_sql() -> dict[str, str]:
-    return {name: using(text) for name, text in QUERIES.items()}
+    return {name: using(portable(name)) for name, text in QUERIES.items()}

@@ -161,7 +161,8 @@ class Inputs:
 
 def _csv(i: Inputs) -> DataFrame:
     path = scratch_path(i.spark, "outages_csv")
-    i.raw.write.option("header", True).csv(path)
+    fine = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+    i.raw.write.options(header=True, timestampNTZFormat=fine).csv(path)
     return load_outage_csv(i.spark, path)
 
 
@@ -294,7 +295,8 @@ def _all_rounded(df: DataFrame) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    def bind(build: Callable[[Inputs], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-        return lambda spark, sf_dir: build(Inputs(spark, sf_dir))
+    def bind(name: str, build: Callable[[Inputs], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        casts = {c: F.col(c).cast(t) for c, t in FX.COMPARED_AS.get(name, {}).items()}
+        return lambda spark, sf_dir: build(Inputs(spark, sf_dir)).withColumns(casts)
 
-    return {name: bind(build) for name, build in BUILDERS.items()}
+    return {name: bind(name, build) for name, build in BUILDERS.items()}

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import Config
+from ..functions.flags import as_int
 from ..functions.times import chunk_start, minutes_between
 from .blocks import in_scope
 
@@ -49,8 +50,13 @@ def _starts(row_on: str, opens_on: str, before_on: str, before_ts: str, ts: str,
     return F.col(row_on) & ~follows
 
 
-def event_marks(readings: DataFrame, cfg: Config) -> DataFrame:
-    """Every instant with its gap, previous state, start mark and event number (on rows only)."""
+def _numbered(readings: DataFrame, cfg: Config, only_on: bool) -> DataFrame:
+    """Instants with what the piece before hands on, and their event number.
+
+    With `only_on`, instants below the threshold and the hand-over of pieces that never reach it
+    are left out after numbering. Using the peak there also gives both sides of the join the same
+    columns, so that they share one shuffle of the instants.
+    """
     piece = ["county_fips", "piece"]
     inside = Window.partitionBy(*piece).orderBy("ts")
     # Inside a piece; the first instant of each still lacks its predecessor.
@@ -79,6 +85,7 @@ def event_marks(readings: DataFrame, cfg: Config) -> DataFrame:
             F.max("ts").alias("last_ts"),
             F.max_by("closes_on", "ts").alias("last_on"),
             F.max("later_starts").alias("later_starts"),
+            F.max("outage_ratio").alias("peak"),
         )
         .withColumns({
             "carry_ts": F.lag("last_ts").over(across),
@@ -92,30 +99,35 @@ def event_marks(readings: DataFrame, cfg: Config) -> DataFrame:
             "carry_ts",
             "carry_on",
             "first_start",
+            "peak",
             # Events begun before this piece, and the one its first instant begins.
             (F.col("upto") - F.col("later_starts")).alias("base"),
         )
     )
+    if only_on:
+        carried = carried.where(F.col("peak") >= F.lit(cfg.event_outage_threshold))
+        local = local.where("closes_on")
+    number = F.when(F.col("closes_on"), F.col("base") + F.col("later_starts"))
+    return local.join(carried.drop("peak"), piece).withColumn("event_id", number)
+
+
+def event_marks(readings: DataFrame, cfg: Config) -> DataFrame:
+    """Every instant with its gap, previous state, start mark and event number (on rows only)."""
     first = F.col("nth") == 1
+    starts = F.when(first, F.col("first_start")).otherwise(F.col("later_start"))
     return (
-        local.join(carried, piece)
-        .withColumns({
-            "prev_ts": F.when(first, F.col("carry_ts")).otherwise(F.col("before_ts")),
-            "prev_outage_on": F.when(first, F.col("carry_on")).otherwise(F.col("before_on")),
-            "is_start": F.when(F.when(first, F.col("first_start")).otherwise(F.col("later_start")), 1)
-            .otherwise(0)
-            .cast("bigint"),
-        })
+        _numbered(readings, cfg, only_on=False)
+        .withColumn("prev_ts", F.when(first, F.col("carry_ts")).otherwise(F.col("before_ts")))
         .select(
             "county_fips",
             "ts",
             "readings",
             "outage_ratio",
             F.col("closes_on").alias("outage_on"),
-            "prev_outage_on",
+            F.when(first, F.col("carry_on")).otherwise(F.col("before_on")).alias("prev_outage_on"),
             minutes_between(F.col("prev_ts"), F.col("ts")).alias("gap_min"),
-            "is_start",
-            F.when(F.col("closes_on"), F.col("base") + F.col("later_starts")).alias("event_id"),
+            as_int(starts).alias("is_start"),
+            "event_id",
         )
     )
 
@@ -123,8 +135,7 @@ def event_marks(readings: DataFrame, cfg: Config) -> DataFrame:
 def outage_events(readings: DataFrame, cfg: Config) -> DataFrame:
     """One row per event, numbered from 1 in each county."""
     return (
-        event_marks(readings, cfg)
-        .where("outage_on")
+        _numbered(readings, cfg, only_on=True)
         .groupBy("county_fips", "event_id")
         .agg(
             F.min("ts").alias("start_ts"),
