@@ -233,7 +233,7 @@ BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     # Sources and sinks.
     "load_outage_csv": _csv,
     "outage_part": _stored_outages,
-    "counties_ref": lambda i: i.counties.withColumn("county_geom", to_wkt(F.col("county_geom"))),
+    "counties_ref": lambda i: i.counties.withColumn("county_geom", to_wkt("county_geom")),
     "init_time_list": lambda i: i.forecasts.where(in_init_times(CFG))
     .groupBy("init_time")
     .agg(F.count(F.lit(1)).alias("forecast_rows")),
@@ -262,7 +262,7 @@ BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     # Serving.
     "timeseries_view": lambda i: S.timeseries_view(i.master, i.counties),
     "correlation_view": lambda i: S.correlation_view(i.correlations, i.counties),
-    "risk_map_view": lambda i: S.risk_map_view(i.plan, i.counties).withColumn("geom", to_wkt(F.col("geom"))),
+    "risk_map_view": lambda i: S.risk_map_view(i.plan, i.counties).withColumn("geom", to_wkt("geom")),
     "preboard_view": lambda i: S.preboard_view(i.plan, i.counties),
     "events_view": lambda i: S.latest_events(S.events_view(i.coverage, i.counties)),
     "kpi_overview": lambda i: rounded(S.kpi_overview(i.plan, i.coverage), "detection_rate"),

@@ -2,6 +2,10 @@
 
 Degrees are scaled to metres at the cell's latitude. "Meets the outline grown by r" is tested as
 "within r of the outline", so no grown outline is ever built.
+
+The tests are SQL text over the columns `lon, lat` (cell centre), `xmin, ymin, xmax, ymax` (county
+box) and `side` (county outline): nested lambdas are far quicker to parse than to build call by
+call.
 """
 
 from __future__ import annotations
@@ -12,92 +16,84 @@ from pyspark.sql import functions as F
 METRES_PER_DEGREE = 111320.0
 
 
-def lon_scale(lat: Column) -> Column:
-    return F.lit(METRES_PER_DEGREE) * F.cos(F.radians(lat))
+def number(value: float) -> str:
+    """A double literal; plain decimals would be exact decimals in SQL."""
+    return f"{float(value)!r}D"
 
 
-def edges(geom: Column) -> Column:
-    """All sides of all rings of an outline, closing each ring."""
+LON_SCALE = f"({number(METRES_PER_DEGREE)} * cos(radians(lat)))"
+LAT_SCALE = number(METRES_PER_DEGREE)
+
 
-    def sides(ring: Column) -> Column:
-        ahead = F.concat(F.slice(ring, 2, F.size(ring)), F.slice(ring, 1, 1))
-        return F.zip_with(
+def edges(geom: str) -> Column:
+    """All sides of all rings of an outline, closing each ring."""
+    return F.expr(f"""
+        flatten(transform({geom}, ring -> zip_with(
             ring,
-            ahead,
-            lambda a, b: F.struct(
-                a["lon"].alias("x0"), a["lat"].alias("y0"), b["lon"].alias("x1"), b["lat"].alias("y1")
-            ),
-        )
+            concat(slice(ring, 2, size(ring)), slice(ring, 1, 1)),
+            (a, b) -> named_struct('x0', a.lon, 'y0', a.lat, 'x1', b.lon, 'y1', b.lat))))""")
+
 
-    return F.flatten(F.transform(geom, sides))
+def bounds() -> dict[str, Column]:
+    """Bounding box of the sides."""
+    return {
+        name: F.expr(f"array_{pick}(transform(side, e -> e.{axis}0))")
+        for name, pick, axis in (("xmin", "min", "x"), ("ymin", "min", "y"), ("xmax", "max", "x"), ("ymax", "max", "y"))
+    }
 
 
-def is_box(geom: Column, side: Column, xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Column:
+def is_box(geom: str) -> Column:
     """Whether an outline is exactly its bounding box, for which the box test alone is exact."""
-    on_corner = lambda e: e["x0"].isin(xmin, xmax) & e["y0"].isin(ymin, ymax)
-    straight = lambda e: (e["x0"] == e["x1"]) | (e["y0"] == e["y1"])
-    corners = F.array_distinct(F.transform(side, lambda e: F.struct(e["x0"], e["y0"])))
-    return (
-        (F.size(geom) == 1)
-        & (F.size(corners) == 4)
-        & F.forall(side, lambda e: on_corner(e) & straight(e))
-    )
+    return F.expr(f"""
+        size({geom}) = 1
+        and size(array_distinct(transform(side, e -> named_struct('x', e.x0, 'y', e.y0)))) = 4
+        and forall(side, e -> e.x0 in (xmin, xmax) and e.y0 in (ymin, ymax) and (e.x0 = e.x1 or e.y0 = e.y1))""")
 
 
-def box_within(
-    lon: Column, lat: Column, half: float,
-    xmin: Column, ymin: Column, xmax: Column, ymax: Column, radius: float,
-) -> Column:
-    """Whether a cell of the given half-width lies within `radius` metres of a box."""
-    gap_x = F.greatest(F.lit(0.0), lon - half - xmax, xmin - lon - half) * lon_scale(lat)
-    gap_y = F.greatest(F.lit(0.0), lat - half - ymax, ymin - lat - half) * METRES_PER_DEGREE
-    return gap_x * gap_x + gap_y * gap_y <= F.lit(radius * radius)
+def box_within(half: float, radius: float) -> Column:
+    """Whether a cell of the given half-width lies within `radius` metres of the county box."""
+    h = number(half)
+    gap_x = f"greatest(0D, lon - {h} - xmax, xmin - lon - {h}) * {LON_SCALE}"
+    gap_y = f"greatest(0D, lat - {h} - ymax, ymin - lat - {h}) * {LAT_SCALE}"
+    return F.expr(f"power({gap_x}, 2) + power({gap_y}, 2) <= {number(radius * radius)}")
 
 
-def outline_within(lon: Column, lat: Column, half: float, side: Column, radius: float) -> Column:
-    """Whether a cell lies within `radius` metres of an outline given by its sides.
+def outline_within(half: float, radius: float) -> Column:
+    """Whether a cell lies within `radius` metres of the county outline.
 
     Either a side comes that close, or the cell is wholly inside, and then so is its centre.
+
+    A side is the point (ax, ay) + t (dx, dy), t from 0 to 1, seen from the cell centre, with the
+    cell reaching hx and hy around it. Its squared distance to the cell is convex and piecewise
+    quadratic in t, so the minimum is at an end, where the side crosses a line through a cell
+    edge, or nearest to a cell corner: ten places, all of which are tried.
     """
-    kx, ky = lon_scale(lat), F.lit(METRES_PER_DEGREE)
-    hx, hy = kx * half, ky * half
-
-    def close(e: Column) -> Column:
-        # The side as a point moving from (ax, ay) by t * (dx, dy), with the cell centre at 0.
-        ax, ay = (e["x0"] - lon) * kx, (e["y0"] - lat) * ky
-        dx, dy = (e["x1"] - e["x0"]) * kx, (e["y1"] - e["y0"]) * ky
-        # Squared distance to the box is convex and piecewise quadratic in t, so its minimum is at
-        # an end, where the side crosses a line through a box edge, or nearest to a box corner.
-        at = [F.lit(0.0), F.lit(1.0)]
-        at += [F.try_divide(s * hx - ax, dx) for s in (-1, 1)]
-        at += [F.try_divide(s * hy - ay, dy) for s in (-1, 1)]
-        at += [
-            F.try_divide((sx * hx - ax) * dx + (sy * hy - ay) * dy, dx * dx + dy * dy)
-            for sx in (-1, 1)
-            for sy in (-1, 1)
-        ]
-        places = F.array(*[F.least(F.lit(1.0), F.greatest(F.lit(0.0), t)) for t in at])
-
-        def near(t: Column) -> Column:
-            gap_x = F.greatest(F.lit(0.0), F.abs(ax + t * dx) - hx)
-            gap_y = F.greatest(F.lit(0.0), F.abs(ay + t * dy) - hy)
-            return gap_x * gap_x + gap_y * gap_y <= F.lit(radius * radius)
-
-        return F.exists(places, near)
-
-    def crossed(e: Column) -> Column:
-        spans = (e["y0"] > lat) != (e["y1"] > lat)
-        x_at = e["x0"] + F.try_divide((e["x1"] - e["x0"]) * (lat - e["y0"]), e["y1"] - e["y0"])
-        return F.when(spans & (lon < x_at), F.lit(1)).otherwise(F.lit(0))
-
-    crossings = F.aggregate(side, F.lit(0), lambda n, e: n + crossed(e))
-    return F.exists(side, close) | (crossings % 2 == 1)
-
-
-def to_wkt(geom: Column) -> Column:
-    """An outline as text, one polygon per ring, for tools that take well-known text."""
-    point = lambda p: F.concat_ws(" ", p["lon"].cast("string"), p["lat"].cast("string"))
-    ring = lambda r: F.concat(
-        F.lit("(("), F.array_join(F.transform(F.concat(r, F.slice(r, 1, 1)), point), ", "), F.lit("))")
-    )
-    return F.concat(F.lit("MULTIPOLYGON ("), F.array_join(F.transform(geom, ring), ", "), F.lit(")"))
+    crossings = [f"try_divide({s} s.h{a} - s.a{a}, s.d{a})" for a in "xy" for s in "+-"]
+    corners = [
+        f"try_divide(({p} s.hx - s.ax) * s.dx + ({q} s.hy - s.ay) * s.dy, s.dx * s.dx + s.dy * s.dy)"
+        for p in "+-"
+        for q in "+-"
+    ]
+    places = ", ".join(f"greatest(0D, least(1D, {t}))" for t in ["0D", "1D", *crossings, *corners])
+    close = f"""
+        exists(
+            transform(side, e -> named_struct(
+                'ax', (e.x0 - lon) * {LON_SCALE}, 'ay', (e.y0 - lat) * {LAT_SCALE},
+                'dx', (e.x1 - e.x0) * {LON_SCALE}, 'dy', (e.y1 - e.y0) * {LAT_SCALE},
+                'hx', {number(half)} * {LON_SCALE}, 'hy', {number(half)} * {LAT_SCALE})),
+            s -> exists(
+                array({places}),
+                t -> power(greatest(0D, abs(s.ax + t * s.dx) - s.hx), 2)
+                   + power(greatest(0D, abs(s.ay + t * s.dy) - s.hy), 2) <= {number(radius * radius)}))"""
+    inside = """
+        size(filter(side, e -> (e.y0 > lat) <> (e.y1 > lat)
+            and lon < e.x0 + try_divide((e.x1 - e.x0) * (lat - e.y0), e.y1 - e.y0))) % 2 = 1"""
+    return F.expr(f"{close} or {inside}")
+
+
+def to_wkt(geom: str) -> Column:
+    """An outline as well-known text, one polygon per ring."""
+    return F.expr(f"""
+        concat('MULTIPOLYGON (', array_join(transform({geom}, ring -> concat('((', array_join(
+            transform(concat(ring, slice(ring, 1, 1)),
+                      p -> concat_ws(' ', cast(p.lon as string), cast(p.lat as string))), ', '), '))')), ', '), ')')""")

@@ -22,39 +22,25 @@ def cells_of(forecasts: DataFrame) -> DataFrame:
 
 def county_regions(counties: DataFrame, cfg: Config) -> DataFrame:
     """Target counties with their outline's sides and bounding box."""
-
-    def bound(pick, axis: str) -> Column:
-        return pick(F.transform("side", lambda e: e[axis]))
-
     return (
         target_counties(counties, cfg)
         .select(
-            F.col("county_fips_code").alias("county_fips"),
-            "county_name",
-            "county_geom",
-            G.edges(F.col("county_geom")).alias("side"),
-        )
-        .withColumns({
-            "xmin": bound(F.array_min, "x0"),
-            "ymin": bound(F.array_min, "y0"),
-            "xmax": bound(F.array_max, "x0"),
-            "ymax": bound(F.array_max, "y0"),
-        })
-        .withColumn(
-            "boxed",
-            G.is_box(*[F.col(c) for c in ("county_geom", "side", "xmin", "ymin", "xmax", "ymax")]),
+            F.col("county_fips_code").alias("county_fips"), "county_name", "county_geom",
+            G.edges("county_geom").alias("side"),
         )
+        .withColumns(G.bounds())
+        .withColumn("boxed", G.is_box("county_geom"))
         .drop("county_geom")
     )
 
 
 def _reach(cfg: Config) -> tuple[Column, Column]:
     """Degrees of longitude and latitude that a box must grow by to surely cover the buffer."""
-    grow_lat = F.lit(cfg.cell_half_deg + cfg.spatial_buffer_m / G.METRES_PER_DEGREE + 1e-9)
-    far = F.least(
-        F.lit(89.0), F.greatest(F.abs(F.col("ymin") - grow_lat), F.abs(F.col("ymax") + grow_lat))
-    )
-    return F.lit(cfg.cell_half_deg + 1e-9) + F.lit(cfg.spatial_buffer_m) / G.lon_scale(far), grow_lat
+    grow_lat = cfg.cell_half_deg + cfg.spatial_buffer_m / G.METRES_PER_DEGREE + 1e-9
+    grow_lon = f"""
+        {G.number(cfg.cell_half_deg + 1e-9)} + {G.number(cfg.spatial_buffer_m / G.METRES_PER_DEGREE)}
+        / cos(radians(least(89D, greatest(abs(ymin - {grow_lat!r}D), abs(ymax + {grow_lat!r}D)))))"""
+    return F.expr(grow_lon), F.lit(grow_lat)
 
 
 def _tile(c: Column, cfg: Config) -> Column:
@@ -100,30 +86,23 @@ def near_pairs(cells: DataFrame, counties: DataFrame, cfg: Config) -> DataFrame:
         _tile(F.col("ymax") + grow_lat, cfg).alias("ty1"),
     ).select("*", F.explode(F.sequence("ty0", "ty1")).alias("ty"))
 
-    lon, lat = F.col("lon"), F.col("lat")
-    box = [F.col(c) for c in ("xmin", "ymin", "xmax", "ymax")]
-
-    def box_test(half: float) -> Column:
-        return G.box_within(lon, lat, half, *box, cfg.spatial_buffer_m)
-
+    r, half = cfg.spatial_buffer_m, cfg.cell_half_deg
     candidates = (
-        cells.withColumns({"tx": _tile(lon, cfg), "ty": _tile(lat, cfg)})
+        cells.withColumns({"tx": _tile(F.col("lon"), cfg), "ty": _tile(F.col("lat"), cfg)})
         .join(tiles, ["tx", "ty"])
-        .where(box_test(cfg.cell_half_deg))
-        .select("cell_id", "lon", "lat", "county_fips", "county_name", *box, "boxed")
+        .where(G.box_within(half, r))
+        .drop("tx", "ty", "ty0", "ty1")
     )
     # The outline's sides are fetched per candidate, not carried on every tile.
-    with_side = candidates.join(
-        regions.select("county_fips", F.when(~F.col("boxed"), F.col("side")).alias("side")), "county_fips"
-    )
+    sides = regions.select("county_fips", F.when(~F.col("boxed"), F.col("side")).alias("side"))
 
-    def outline_test(half: float) -> Column:
-        return G.outline_within(lon, lat, half, F.col("side"), cfg.spatial_buffer_m)
+    def exact(width: float) -> Column:
+        return G.box_within(width, r) & (F.col("boxed") | G.outline_within(width, r))
 
     return (
-        with_side.where(F.col("boxed") | outline_test(cfg.cell_half_deg))
-        .withColumn("centre_near", box_test(0.0) & (F.col("boxed") | outline_test(0.0)))
-        .select("cell_id", "lon", "lat", "county_fips", "county_name", "centre_near")
+        candidates.join(sides, "county_fips")
+        .where(exact(half))
+        .select("cell_id", "lon", "lat", "county_fips", "county_name", exact(0.0).alias("centre_near"))
     )
 
 
