@@ -28,7 +28,7 @@ def predict_regression(model: PipelineModel, data: DataFrame) -> DataFrame:
     return scored(model, split_rows(data, "TEST")).select(
         "county_fips",
         "valid_ts",
-        F.col("lead_hours").cast("bigint").alias("lead_hours"),
+        "lead_hours",
         F.col("outage_ratio_6h_max").alias("actual_ratio"),
         F.col("prediction").alias("predicted_ratio"),
         severity_tier(F.col("prediction")).alias("predicted_tier"),
@@ -44,7 +44,7 @@ def predict_classification(model: PipelineModel, data: DataFrame) -> DataFrame:
     return scored(model, split_rows(data, "TEST")).select(
         "county_fips",
         "valid_ts",
-        F.col("lead_hours").cast("bigint").alias("lead_hours"),
+        "lead_hours",
         F.col("outage_event").alias("actual_event"),
         F.col("prediction").cast("bigint").alias("predicted_event"),
         probability.alias("predicted_probability"),

@@ -21,13 +21,14 @@ from ..storage import shared_dir
 
 SEED = 42
 TREE_DEPTH = 6
+VALUES = [f"{name}_value" for name in MODEL_FEATURES]
 FILLED = [f"{name}_filled" for name in MODEL_FEATURES]
 
 
 def _feature_stages() -> list:
     """Spark's trees take no missing values, so those become the column mean."""
     return [
-        Imputer(strategy="mean", inputCols=MODEL_FEATURES, outputCols=FILLED),
+        Imputer(strategy="mean", inputCols=VALUES, outputCols=FILLED),
         VectorAssembler(inputCols=FILLED, outputCol="features", handleInvalid="keep"),
     ]
 
@@ -47,8 +48,8 @@ def balanced_weights(data: DataFrame) -> DataFrame:
 
 
 def _prepared(data: DataFrame) -> DataFrame:
-    """Validation marks and plain doubles for the learners."""
-    numeric = {name: F.col(name).cast("double") for name in MODEL_FEATURES}
+    """Validation marks, and the features as doubles beside the columns themselves."""
+    numeric = {value: F.col(name).cast("double") for name, value in zip(MODEL_FEATURES, VALUES)}
     return data.withColumns(numeric).withColumn("validation", F.col("data_split") == "TEST")
 
 
