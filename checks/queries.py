@@ -294,9 +294,12 @@ def _all_rounded(df: DataFrame) -> DataFrame:
     return rounded(df, *df.columns)
 
 
+def compared(name: str, df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast(t) for c, t in FX.COMPARED_AS.get(name, {}).items()})
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(name: str, build: Callable[[Inputs], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-        casts = {c: F.col(c).cast(t) for c, t in FX.COMPARED_AS.get(name, {}).items()}
-        return lambda spark, sf_dir: build(Inputs(spark, sf_dir)).withColumns(casts)
+        return lambda spark, sf_dir: compared(name, build(Inputs(spark, sf_dir)))
 
     return {name: bind(name, build) for name, build in BUILDERS.items()}
