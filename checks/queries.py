@@ -36,7 +36,7 @@ from stormledger.sources.outages import (
     read_outage_part,
     save_outage_part,
 )
-from stormledger.storage import checkpointed, scratch_path
+from stormledger.storage import scratch_path, stored
 
 from . import fixtures as FX
 
@@ -91,7 +91,7 @@ class Inputs:
     @property
     def stored_weather(self) -> DataFrame:
         """Weather features materialised, as the pipeline does, for queries that read them twice."""
-        return self._once("stored_weather", lambda: checkpointed(self.weather))
+        return self._once("stored_weather", lambda: stored(self.weather, "weather"))
 
     @property
     def thresholds(self) -> DataFrame:
@@ -113,13 +113,17 @@ class Inputs:
     def events(self) -> DataFrame:
         return outage_events(self.readings, CFG)
 
+    @property
+    def stored_events(self) -> DataFrame:
+        return self._once("stored_events", lambda: stored(self.events, "events"))
+
     @property
     def flags(self) -> DataFrame:
         return wx_lead_flags(self.stored_weather, self.thresholds, CFG)
 
     @property
     def coverage(self) -> DataFrame:
-        return event_coverage(self.events, self.flags, CFG)
+        return event_coverage(self.stored_events, self.flags, CFG)
 
     @property
     def plan(self) -> DataFrame:
@@ -140,7 +144,7 @@ class Inputs:
 
     @property
     def stored_training(self) -> DataFrame:
-        return self._once("stored_training", lambda: checkpointed(self.training))
+        return self._once("stored_training", lambda: stored(self.training, "training"))
 
     @property
     def fixed_scores(self) -> DataFrame:
@@ -271,7 +275,7 @@ BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     # Evaluation arithmetic on a fixed score.
     "training_data": lambda i: rounded(i.training, "t850_c_mean"),
     "evaluate_regression": lambda i: _all_rounded(E.evaluate_regression(i.fixed_scores)),
-    "evaluate_classification": lambda i: _all_rounded(E.evaluate_classification(i.fixed_scores)),
+    "evaluate_classification": lambda i: _all_rounded(E.evaluate_classification(stored(i.fixed_scores, "scores"))),
     "confusion_matrix": lambda i: E.confusion_matrix(i.fixed_scores),
     "roc_curve": lambda i: rounded(E.roc_curve(i.fixed_scores), "recall", "false_positive_rate"),
     "threshold_sweep": lambda i: rounded(threshold_sweep(i.fixed_scores), "precision", "recall", "f1"),

@@ -50,7 +50,7 @@ class Config:
 
     # Physical limits. They change how a plan runs, never what it returns.
     broadcast_rows: int = 200_000
-    event_chunk_minutes: int = 60
+    event_pieces: int = 50_000
 
     def __post_init__(self) -> None:
         missing = [name for name in REQUIRED if not getattr(self, name)]
@@ -60,8 +60,6 @@ class Config:
             raise ValueError("start_date must not be after end_date")
         if not self.lead_hours or not self.init_hours:
             raise ValueError("lead_hours and init_hours must not be empty")
-        if 1440 % self.event_chunk_minutes:
-            raise ValueError("event_chunk_minutes must divide a day")
 
     @property
     def start(self) -> datetime:
@@ -71,11 +69,17 @@ class Config:
     def end(self) -> datetime:
         return datetime.fromisoformat(self.end_date)
 
+    @property
+    def event_piece_minutes(self) -> int:
+        """Length of the pieces a county's history is cut into, so that there are at most about
+        `event_pieces` of them however long the window: a divisor of a day."""
+        least = (self.end - self.start) / timedelta(minutes=1) / self.event_pieces
+        return next((m for m in range(1, 1440) if 1440 % m == 0 and m >= least), 1440)
+
     def init_times(self) -> list[datetime]:
         """Every run that can have a configured lead valid inside the window.
 
         Days run from the start less the longest lead (floored to a day) to the end, inclusive.
-        The list is as long as the calendar and is what prunes forecast partitions.
         """
         first = (self.start - timedelta(hours=max(self.lead_hours))).date()
         days = (self.end.date() - first).days + 1

@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..functions.times import BLOCK_HOURS, block_end_6h, in_window, ntz
-from ..sources.counties import target_counties
+from ..sources.counties import in_counties, target_counties
 
 
 def in_scope(readings: DataFrame, cfg: Config) -> DataFrame:
     """Readings of the target counties inside the window."""
-    return readings.where(F.col("county_fips").isin(*cfg.county_fips) & in_window(F.col("ts"), cfg))
+    return readings.where(in_counties("county_fips", cfg) & in_window(F.col("ts"), cfg))
 
 
 def outage_6h_qc(readings: DataFrame, cfg: Config) -> DataFrame:

@@ -42,7 +42,8 @@ def event_coverage(events: DataFrame, flags: DataFrame, cfg: Config) -> DataFram
 
     The range condition becomes equality by listing the block ends of a span. Events of a county
     do not overlap, so its spans and their blocks grow with the calendar and not with the number
-    of events: flags are settled per span and then looked up by each event.
+    of events: flags are settled per span and then looked up by each event. Events are read twice
+    and should be a stored table.
     """
     spanned = events.withColumns({
         "first_block": block_end_6h(F.col("start_ts")),

@@ -6,10 +6,11 @@ on but more than the allowed minutes earlier. Any reading below the threshold en
 A county may hold a large share of all readings, so its history is never ordered in one task:
 
 1. readings at the same instant fold to one row (off sorts before on, so the fold loses nothing);
-2. ordering happens inside pieces of a county's history, an hour long by default;
+2. ordering happens inside short pieces of a county's history;
 3. one summary row per piece passes the last reading and the running event count to the next.
 
-Only the summaries are ordered per county, and their number grows with the calendar alone.
+Only the summaries are ordered per county. The length of a piece follows from the window, so a
+county has at most `Config.event_pieces` of them whatever its number of readings.
 """
 
 from __future__ import annotations
@@ -39,7 +40,10 @@ def _instants(readings: DataFrame, cfg: Config) -> DataFrame:
             (F.count_if(on) == F.count(F.lit(1))).alias("opens_on"),
             (F.count_if(on) > 0).alias("closes_on"),
         )
-        .withColumn("piece", chunk_start(F.col("ts"), cfg.event_chunk_minutes))
+        .withColumn("piece", chunk_start(F.col("ts"), cfg.event_piece_minutes))
+        # Always true. The join below implies it for one side; stated here, both sides plan alike
+        # and share their shuffles.
+        .where(F.col("piece").isNotNull())
     )
 
 

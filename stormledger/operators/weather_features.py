@@ -10,7 +10,7 @@ from ..functions import weather as W
 from ..functions.times import trunc_hour
 from ..sources.forecasts import explode_forecast, in_init_times
 from ..sources.tables import write_clustered
-from ..storage import broadcast_if_counted, checkpointed
+from ..storage import stored
 from .spatial import area_bounds, cell_counties, cells_of, in_bounds, near_pairs
 
 
@@ -46,13 +46,12 @@ def cell_map(forecasts: DataFrame, counties: DataFrame, cfg: Config) -> DataFram
 
 
 def stored_cell_map(forecasts: DataFrame, counties: DataFrame, cfg: Config) -> DataFrame:
-    """The cell map, computed once and checkpointed, so geometry is settled once per cell.
+    """The cell map, computed once and stored, so geometry is settled once per cell.
 
-    Being stored, it can be counted, and the forecast join broadcasts it only when it is known to
-    be small. A larger grid joins on `cell_id` by shuffling, and adaptive execution splits a cell
-    that has most rows.
+    Its files tell Catalyst its size: the forecast join broadcasts a small map, and joins a large
+    one on `cell_id` by shuffling, where adaptive execution splits a cell that has most rows.
     """
-    return broadcast_if_counted(checkpointed(cell_map(forecasts, counties, cfg)), cfg.broadcast_rows)
+    return stored(cell_map(forecasts, counties, cfg), "cell_map")
 
 
 def county_weather(scoped: DataFrame, cells: DataFrame, cfg: Config) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Config
@@ -18,5 +18,11 @@ def counties_ref(counties: DataFrame, states: DataFrame) -> DataFrame:
     )
 
 
+def in_counties(column: str, cfg: Config) -> Column:
+    """Membership in the configured counties. As text: thousands of codes parse at once."""
+    codes = ", ".join("'" + code.replace("'", "\\'") + "'" for code in cfg.county_fips)
+    return F.expr(f"{column} in ({codes})")
+
+
 def target_counties(counties: DataFrame, cfg: Config) -> DataFrame:
-    return counties.where(F.col("county_fips_code").isin(*cfg.county_fips))
+    return counties.where(in_counties("county_fips_code", cfg))

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Config
-from ..functions.times import in_window, ntz
+from ..functions.times import in_window, ntz, trunc_hour
 from ..schemas import BANDS, FORECAST
 
 
-def in_init_times(cfg: Config):
-    return F.col("init_time").isin(*[ntz(t) for t in cfg.init_times()])
+def in_init_times(cfg: Config) -> Column:
+    """Whether a forecast is from one of the configured runs: their days are consecutive, so a
+    range and the hour of day say it, however long the window."""
+    times, t = cfg.init_times(), F.col("init_time")
+    return t.between(ntz(min(times)), ntz(max(times))) & F.hour(t).isin(*cfg.init_hours) & (trunc_hour(t) == t)
 
 
 def forecast_scan(spark: SparkSession, path: str, cfg: Config) -> DataFrame:
@@ -19,11 +22,11 @@ def forecast_scan(spark: SparkSession, path: str, cfg: Config) -> DataFrame:
 
     Only the day folders of those runs are read, and of each step only the declared bands.
     """
-    days = sorted({t.date() for t in cfg.init_times()})
+    days = [t.date() for t in cfg.init_times()]
     return (
         spark.read.schema(FORECAST)
         .parquet(path)
-        .where(F.col("init_date").isin(*days))
+        .where(F.col("init_date").between(F.lit(min(days)), F.lit(max(days))))
         .where(in_init_times(cfg))
         .drop("init_date")
     )

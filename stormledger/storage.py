@@ -35,15 +35,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Materialise a small, reused result so it survives executor loss and is computed once."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a reused result once and read it back.
 
-
-def broadcast_if_counted(df: DataFrame, limit: int) -> DataFrame:
-    """Broadcast a checkpointed side after counting it; above the limit Catalyst picks the join."""
-    return F.broadcast(df) if df.count() <= limit else df
+    It survives the loss of executors and is not computed again, and since Catalyst knows the size
+    of files, a join broadcasts it only below `spark.sql.autoBroadcastJoinThreshold`.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def broadcast_per_county(df: DataFrame, cfg: Config) -> DataFrame:

@@ -13,7 +13,7 @@ from stormledger.operators.serving import correlation_heatmap, kpi_overview, pre
 from stormledger.operators.skill import correlations, lead_performance, threshold_sweep
 from stormledger.operators.thresholds import county_thresholds
 from stormledger.operators.training import training_data
-from stormledger.operators.weather_features import county_weather, weather_features
+from stormledger.operators.weather_features import weather_features
 
 from .helpers import (
     COUNTIES, DAY, FORECASTS, at, box, config, county, feature, features, minutes, readings, rows, step, thresholds,
@@ -53,12 +53,21 @@ def test_weather_from_nested_forecasts(spark):
 
 
 def test_large_cell_map_joins_without_broadcast(spark):
+    """Beyond the session's broadcast size the same rows come from a shuffled join."""
     init = DAY - timedelta(hours=24)
     cells = [(k, -89.9 + 0.01 * k, 30.5, init, [step(init, 24, u10=float(k))]) for k in range(20)]
-    forecasts, ref = spark.createDataFrame(cells, FORECASTS), counties(spark, A)
-    small = weather_features(forecasts, ref, config(county_fips=(A,)))
-    forced = weather_features(forecasts, ref, config(county_fips=(A,), broadcast_rows=1))
-    assert rows(small) == rows(forced) and len(rows(small)) == 1
+    forecasts, ref, cfg = spark.createDataFrame(cells, FORECASTS), counties(spark, A), config(county_fips=(A,))
+    small = weather_features(forecasts, ref, cfg)
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        large = weather_features(forecasts, ref, cfg)
+        plan = large._jdf.queryExecution().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+        assert rows(small) == rows(large) and len(rows(small)) == 1
+    finally:
+        spark.conf.set(name, before)
 
 
 # --- scaffold --------------------------------------------------------------------------------

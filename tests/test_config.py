@@ -32,3 +32,19 @@ def test_from_env_reads_lists_and_numbers():
 
 def test_fingerprint_follows_settings():
     assert config().fingerprint() == config().fingerprint() != config(outage_threshold=0.2).fingerprint()
+
+
+def test_init_time_filter_is_the_list(spark):
+    from datetime import timedelta
+
+    from stormledger.sources.forecasts import in_init_times
+
+    cfg = config(lead_hours=(24, 30), init_hours=(0, 12))
+    near = [t + timedelta(minutes=m) for t in cfg.init_times() for m in (-720, -360, -1, 0, 1, 360, 720)]
+    df = spark.createDataFrame([(t,) for t in sorted(set(near))], "init_time timestamp_ntz")
+    assert sorted(r.init_time for r in df.where(in_init_times(cfg)).collect()) == sorted(cfg.init_times())
+
+
+def test_event_pieces_stay_few():
+    for end, length in (("2024-04-09", 1), ("2025-03-10", 12), ("2034-03-10", 120)):
+        assert config(end_date=end).event_piece_minutes == length
