@@ -62,7 +62,7 @@ class Inputs:
 
     @property
     def raw(self) -> DataFrame:
-        return FX.outage_raw(self.spark, self.sf_dir)
+        return self._once("raw", lambda: FX.outage_raw(self.spark, self.sf_dir))
 
     @property
     def readings(self) -> DataFrame:
@@ -70,11 +70,13 @@ class Inputs:
 
     @property
     def counties(self) -> DataFrame:
-        return counties_ref(FX.counties(self.spark, self.sf_dir), FX.states(self.spark, self.sf_dir))
+        return self._once(
+            "counties", lambda: counties_ref(FX.counties(self.spark, self.sf_dir), FX.states(self.spark, self.sf_dir))
+        )
 
     @property
     def forecasts(self) -> DataFrame:
-        return FX.forecasts(self.spark, self.sf_dir)
+        return self._once("forecasts", lambda: FX.forecasts(self.spark, self.sf_dir))
 
     @property
     def steps(self) -> DataFrame:
