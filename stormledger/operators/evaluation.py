@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.flags import probability_tier, severity_tier
 from ..functions.scores import safe_ratio
 from ..schemas import MODEL_FEATURES
-from .models import FILLED, positive_probability, scored
+from .models import feature_inputs, positive_probability, scored
 from .training import split_rows
 
 ROC_STEPS = 100
@@ -169,20 +169,18 @@ def roc_curve(predictions: DataFrame, steps: int = ROC_STEPS) -> DataFrame:
 
 
 def feature_importance(model: PipelineModel, data: DataFrame) -> DataFrame:
-    """How much each feature weighs: gain for trees, standardised coefficient size otherwise."""
-    learner = model.stages[-1]
-    spark = data.sparkSession
+    """How much each feature weighs: gain for trees, standardised coefficient size otherwise.
+    A feature the model could not use weighs nothing."""
+    learner, inputs = model.stages[-1], feature_inputs(model)
     if hasattr(learner, "featureImportances"):
         values = [float(v) for v in learner.featureImportances.toArray()]
     else:
-        spread = (
-            scored(model, split_rows(data, "TRAIN"))
-            .agg(*[F.stddev_pop(c) for c in FILLED])
-            .first()
-        )
+        train = scored(model, split_rows(data, "TRAIN"))
+        spread = train.agg(*[F.stddev_pop(c) for c in inputs.values()]).first()
         values = [abs(float(w)) * float(s or 0.0) for w, s in zip(learner.coefficients.toArray(), spread)]
-    return spark.createDataFrame(
-        list(zip(MODEL_FEATURES, values)), "feature string, attribution double"
+    weights = dict(zip(inputs, values))
+    return data.sparkSession.createDataFrame(
+        [(name, weights.get(name, 0.0)) for name in MODEL_FEATURES], "feature string, attribution double"
     ).orderBy(F.desc("attribution"), "feature")
 
 

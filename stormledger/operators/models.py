@@ -22,15 +22,25 @@ from ..storage import shared_dir
 SEED = 42
 TREE_DEPTH = 6
 VALUES = [f"{name}_value" for name in MODEL_FEATURES]
-FILLED = [f"{name}_filled" for name in MODEL_FEATURES]
 
 
-def _feature_stages() -> list:
-    """Spark's trees take no missing values, so those become the column mean."""
-    return [
-        Imputer(strategy="mean", inputCols=VALUES, outputCols=FILLED),
-        VectorAssembler(inputCols=FILLED, outputCol="features", handleInvalid="keep"),
-    ]
+def _fit_features(train: DataFrame) -> PipelineModel:
+    """Spark's trees take no missing values, so those become the column mean. A column without any
+    value has no mean and is left out of the model."""
+    filled = train.agg(*[F.count(c).alias(c) for c in VALUES]).first()
+    usable = [c for c in VALUES if filled[c]]
+    if not usable:
+        raise ValueError("no training row has any feature")
+    names = [f"{c}_filled" for c in usable]
+    return Pipeline(stages=[
+        Imputer(strategy="mean", inputCols=usable, outputCols=names),
+        VectorAssembler(inputCols=names, outputCol="features", handleInvalid="keep"),
+    ]).fit(train)
+
+
+def feature_inputs(model: PipelineModel) -> dict[str, str]:
+    """The model's features in the order of its vector, with the column that feeds each."""
+    return {c.removesuffix("_value_filled"): c for c in model.stages[-2].getInputCols()}
 
 
 def balanced_weights(data: DataFrame) -> DataFrame:
@@ -61,7 +71,7 @@ def _fit(data: DataFrame, learner, validated: bool) -> PipelineModel:
     if owned:
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        features = Pipeline(stages=_feature_stages()).fit(rows.where("data_split = 'TRAIN'"))
+        features = _fit_features(rows.where("data_split = 'TRAIN'"))
         fitted = learner.fit(features.transform(rows))
         return PipelineModel(stages=[*features.stages, fitted])
     finally:

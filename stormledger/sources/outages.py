@@ -13,8 +13,11 @@ from .tables import write_clustered, write_table
 
 
 def load_outage_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Read comma-separated readings with one header row, under a declared schema."""
-    return spark.read.schema(OUTAGE_RAW).option("header", True).csv(path)
+    """Read comma-separated readings with one header row, under a declared schema.
+
+    The header must name the declared columns: other files fail instead of filling wrong columns.
+    """
+    return spark.read.schema(OUTAGE_RAW).options(header=True, enforceSchema=False).csv(path)
 
 
 def save_outage_raw(readings: DataFrame, path: str, mode: str = "overwrite") -> None:

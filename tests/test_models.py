@@ -69,6 +69,14 @@ def test_classifiers_find_the_signal_and_repeat(data, key):
         assert predictions.exceptAll(again).count() == 0
 
 
+def test_feature_without_values_is_left_out(data):
+    empty = data.withColumn("updraft700_pos_max_pas", F.lit(None).cast("double"))
+    model = M.train_logistic(empty, config(**CFG))
+    assert E.evaluate_classification(E.predict_classification(model, empty)).first().roc_auc > 0.9
+    weights = {r.feature: r.attribution for r in E.feature_importance(model, empty).collect()}
+    assert len(weights) == 15 and weights["updraft700_pos_max_pas"] == 0.0 and weights["ws10_max_mps"] > 0
+
+
 def test_balanced_weights_use_training_rows(data):
     weighted = M.balanced_weights(data).where("data_split = 'TRAIN'")
     sums = {r.outage_event: r.s for r in weighted.groupBy("outage_event").agg(F.sum("weight").alias("s")).collect()}

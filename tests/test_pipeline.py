@@ -101,6 +101,13 @@ def test_loading_twice_adds_nothing(spark, tmp_path):
         assert spark.read.parquet(str(tmp_path / "raw")).count() == n
 
 
+def test_other_headers_are_refused(spark, tmp_path):
+    csv = tmp_path / "in.csv"
+    csv.write_text("county,fips_code,state,customers_out,run_start_time,total_customers\nA,1001,S,1,2024-03-10 00:00:00,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        load_outage_csv(spark, str(csv)).collect()
+
+
 def test_window_prunes_day_folders(spark, inputs):
     root, _ = inputs
     plan = read_outage_part(spark, f"{root}/outage_part", config())._jdf.queryExecution().toString()
