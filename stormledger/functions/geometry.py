@@ -14,6 +14,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 METRES_PER_DEGREE = 111320.0
+# Degrees by which coarse tests reach further, so that rounding never drops what the exact test keeps.
+SLACK = 1e-9
 
 
 def number(value: float) -> str:
@@ -66,7 +68,8 @@ def outline_within(half: float, radius: float) -> Column:
     A side is the point (ax, ay) + t (dx, dy), t from 0 to 1, seen from the cell centre, with the
     cell reaching hx and hy around it. Its squared distance to the cell is convex and piecewise
     quadratic in t, so the minimum is at an end, where the side crosses a line through a cell
-    edge, or nearest to a cell corner: ten places, all of which are tried.
+    edge, or nearest to a cell corner: ten places, all of which are tried. Sides whose own box is
+    out of reach, which are nearly all, are dropped first.
     """
     crossings = [f"try_divide({s} s.h{a} - s.a{a}, s.d{a})" for a in "xy" for s in "+-"]
     corners = [
@@ -75,9 +78,14 @@ def outline_within(half: float, radius: float) -> Column:
         for q in "+-"
     ]
     places = ", ".join(f"greatest(0D, least(1D, {t}))" for t in ["0D", "1D", *crossings, *corners])
+    far_x = f"({number(half + SLACK)} + {number(radius)} / {LON_SCALE})"
+    far_y = number(half + SLACK + radius / METRES_PER_DEGREE)
+    reachable = f"""filter(side, e ->
+        least(e.x0, e.x1) - lon <= {far_x} and lon - greatest(e.x0, e.x1) <= {far_x}
+        and least(e.y0, e.y1) - lat <= {far_y} and lat - greatest(e.y0, e.y1) <= {far_y})"""
     close = f"""
         exists(
-            transform(side, e -> named_struct(
+            transform({reachable}, e -> named_struct(
                 'ax', (e.x0 - lon) * {LON_SCALE}, 'ay', (e.y0 - lat) * {LAT_SCALE},
                 'dx', (e.x1 - e.x0) * {LON_SCALE}, 'dy', (e.y1 - e.y0) * {LAT_SCALE},
                 'hx', {number(half)} * {LON_SCALE}, 'hy', {number(half)} * {LAT_SCALE})),

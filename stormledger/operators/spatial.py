@@ -36,9 +36,9 @@ def county_regions(counties: DataFrame, cfg: Config) -> DataFrame:
 
 def _reach(cfg: Config) -> tuple[Column, Column]:
     """Degrees of longitude and latitude that a box must grow by to surely cover the buffer."""
-    grow_lat = cfg.cell_half_deg + cfg.spatial_buffer_m / G.METRES_PER_DEGREE + 1e-9
+    grow_lat = cfg.cell_half_deg + cfg.spatial_buffer_m / G.METRES_PER_DEGREE + G.SLACK
     grow_lon = f"""
-        {G.number(cfg.cell_half_deg + 1e-9)} + {G.number(cfg.spatial_buffer_m / G.METRES_PER_DEGREE)}
+        {G.number(cfg.cell_half_deg + G.SLACK)} + {G.number(cfg.spatial_buffer_m / G.METRES_PER_DEGREE)}
         / cos(radians(least(89D, greatest(abs(ymin - {grow_lat!r}D), abs(ymax + {grow_lat!r}D)))))"""
     return F.expr(grow_lon), F.lit(grow_lat)
 
@@ -92,6 +92,9 @@ def near_pairs(cells: DataFrame, counties: DataFrame, cfg: Config) -> DataFrame:
         .join(tiles, ["tx", "ty"])
         .where(G.box_within(half, r))
         .drop("tx", "ty", "ty0", "ty1")
+        # Few bytes but much arithmetic per row: spread over all cores, which adaptive merging by
+        # size would undo. Grouping by cell later needs no further shuffle.
+        .repartition(cells.sparkSession.sparkContext.defaultParallelism, "cell_id")
     )
     # The outline's sides are fetched per candidate, not carried on every tile.
     sides = regions.select("county_fips", F.when(~F.col("boxed"), F.col("side")).alias("side"))
