@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, quality
+from . import language, neardup, pii, quality, toxicity
 from .common import fold, table
 
 
@@ -25,5 +25,31 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.extract(table(spark, sf_dir, "documents"))
+
+    def line(kind, span):
+        return F.concat_ws(":", kind, span["start"], span["end"])
+
+    kinds = F.array(*map(F.lit, pii.KINDS))
+    base = F.transform("base", lambda b: line(kinds[b["kind"]], b))
+    more = F.transform("more", lambda m: line(F.lit("other"), m))
+    counts = [F.size(F.filter("base", lambda b, k=k: b["kind"] == k)).cast("long").alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)]
+    return found.select(
+        "doc_id", *counts, F.sha2(F.array_join(base, ","), 256).alias("base_sha256"), F.array_join(F.concat(base, more), ",").alias("spans")
+    )
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = toxicity.scores(docs, table(spark, sf_dir, "labels"), fold(F.col("doc_id"), 4) != 2)
+    held_out = F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted", "n_restored")
+
+
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
