@@ -1,7 +1,142 @@
-"""DuckDB SQL for the text queries that SQL can express."""
+"""DuckDB SQL for the text queries that SQL can express.
+
+Constants are written out; nothing is taken from the operators.
+"""
 
 from __future__ import annotations
 
+BLANK = "[\\x20\\x09-\\x0D]"
+WORDS = f"list_filter(regexp_split_to_array(coalesce(text, ''), '{BLANK}+'), w -> w <> '')"
+
+
+def _op3() -> str:
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+    letters = " || ".join(
+        f"substr('{alphabet}', 1 + ((('0x' || substr(h, {5 * i + 1}, 5))::bigint // {32 ** (3 - k)}) % 32)::int, 1)"
+        for i in range(8)
+        for k in range(4)
+    )
+    return f"""
+with p as (select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as h from pages),
+d as (select page_id, html, strlen(html)::bigint as payload_bytes, {letters} as payload_digest from p),
+f as (select *, min(page_id) over (partition by html) as first from d)
+select page_id, payload_bytes, payload_digest, if(page_id = first, 'response', 'revisit') as record_type,
+       if(page_id = first, null, first) as refers_to
+from f"""
+
+
+def _op4() -> str:
+    margins = {"source": 0.5, "lang": 0.7, "topic": 0.7}
+    steps = ["w0 as (select source, lang, topic, n_words, n_words::double as weight from cells)"]
+    for margin, power in margins.items():
+        steps.append(f"g_{margin} as (select {margin}, pow(sum(n_words), {power}::double) as part from cells group by 1)")
+        steps.append(
+            f"t_{margin} as (select {margin}, part / (select sum(part) from g_{margin}) * (select sum(n_words) from cells) as target "
+            f"from g_{margin} where part > 0)"
+        )
+    k = 0
+    for _ in range(8):
+        for margin in margins:
+            steps.append(f"n{k} as (select {margin}, sum(weight) as now from w{k} group by 1)")
+            steps.append(
+                f"w{k + 1} as materialized (select source, lang, topic, n_words, weight * coalesce(target / nullif(now, 0), 1.0::double) as weight "
+                f"from w{k} join n{k} using ({margin}) left join t_{margin} using ({margin}))"
+            )
+            k += 1
+    steps.append("s0 as (select 0.6::double as scale)")
+    for i in range(12):
+        steps.append(
+            f"s{i + 1} as materialized (select any_value(scale) * (sum(n_words) * 0.6::double) / sum(least(n_words::double, scale * weight)) as scale "
+            f"from w{k}, s{i})"
+        )
+    return f"""
+with d as (
+  select doc_id, coalesce(source, '') as source, coalesce(lang, '') as lang, coalesce(text, '') as t, len({WORDS})::bigint as n_words
+  from documents),
+m as (select doc_id, source, lang, n_words,
+        case when (length(t) - length(replace(t, '|', ''))) * 20 > n_words then 'table'
+             when (length(t) - length(replace(t, chr(10), ''))) * 10 > n_words then 'list' else 'prose' end as topic
+      from d),
+cells as materialized (select source, lang, topic, sum(n_words)::bigint as n_words from m group by all),
+{", ".join(steps)},
+p as (select source, lang, topic, round(if(n_words > 0, least(1.0::double, scale * weight / n_words), 1.0::double), 9) as probability
+      from w{k}, s12)
+select doc_id, source, lang, topic, n_words, probability,
+       ('0x' || substr(md5(doc_id || ':7'), 1, 13))::bigint / 4503599627370496.0::double < probability as kept
+from m join p using (source, lang, topic)"""
+
+
+def _op5() -> str:
+    ratios = {
+        "symbol_ratio": ("n_symbols", "n_words", 100, 400),
+        "dup_line_ratio": ("n_dup_lines", "n_lines", 100, 100),
+        "repeat_ratio": ("n_repeat_words", "n_words", 100, 100),
+        "word_length": ("word_chars", "n_words", 2, 100),
+    }
+    values = " union all ".join(
+        f"select doc_id, coalesce(lang, '') as stratum, base_failed, '{name}' as ratio, {last} as last, {step} as step, "
+        f"least(greatest(ceil(if({b} > 0, {a}::double / {b}::double, 0::double) * {step}), 1), {last} + 1)::bigint as point from c"
+        for name, (a, b, step, last) in ratios.items()
+    )
+    # P(X <= k) for X binomial(n, 0.01), summed from logarithms.
+    term = "exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.01::double) + (n - i) * ln(0.99::double))"
+    return f"""
+with d as materialized (
+  select doc_id, lang, coalesce(text, '') as t, {WORDS} as w from documents),
+tri as (
+  select doc_id, j, w[j:j + 2] as g from (select doc_id, w, unnest(range(1, len(w) - 1)) as j from d)),
+twice as (select doc_id, j from (select doc_id, j, count(*) over (partition by doc_id, g) as n from tri) where n > 1),
+repeats as (select doc_id, count(distinct j + k) as n from twice, range(3) as r(k) group by 1),
+c as materialized (
+  select doc_id, lang, len(w)::bigint as n_words,
+    length(regexp_replace(t, '{BLANK}+', '', 'g'))::bigint as word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::bigint as n_symbols,
+    (len(l) - len(list_distinct(l)))::bigint as n_dup_lines, len(l)::bigint as n_lines,
+    coalesce(n, 0)::bigint as n_repeat_words,
+    len(w) < 50 or 100 * coalesce(n, 0) > 50 * len(w) as base_failed
+  from (select *, list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\\x20\\x09-\\x0D]')) as l from d)
+  left join repeats using (doc_id)),
+v as materialized ({values}),
+good as (select doc_id from labels where quality is not null group by 1 having min(quality) = 1),
+h as materialized (select stratum, ratio, last, step, point, count(*) as n from v join good using (doc_id) where not base_failed group by all),
+tests as (select count(*) as m from (select distinct stratum, ratio from h)),
+s as (select stratum, ratio, last, step, sum(n) as n from h group by all),
+cdf as (select n, i, sum({term}) over (partition by n order by i) as f
+        from (select distinct n from s), lateral (select unnest(range(0, (n * 0.01)::bigint + 2)) as i)),
+allowed as (select n, max(i) as k from cdf, tests where f <= 0.05::double / m group by 1),
+cut as (
+  select stratum, ratio, min(g) as cutoff from (
+    select s.stratum, s.ratio, g, k, coalesce(sum(h.n) filter (h.point > g), 0) as rejected
+    from s join allowed using (n), lateral (select unnest(range(1, s.last + 1)) as g)
+    join h on h.stratum = s.stratum and h.ratio = s.ratio group by all)
+  where rejected <= k group by 1, 2),
+bad as (select distinct doc_id from v join cut using (stratum, ratio) where point > cutoff)
+select c.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and bad.doc_id is null as kept
+from c left join bad using (doc_id)"""
+
+
+def _op10() -> str:
+    return f"""
+with recursive w as materialized (
+  select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{BLANK}+'), x -> x <> '') as w
+  from documents),
+s as materialized (
+  select distinct doc_id, g from (
+    select doc_id, w[j:j + 4] as g from (select doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) as j from w where len(w) > 0))),
+n as materialized (select doc_id, count(*) as n from s group by 1),
+both as (select a.doc_id as a, b.doc_id as b, count(*) as c from s a join s b on a.g = b.g and a.doc_id <> b.doc_id group by 1, 2),
+e as materialized (
+  select a, b from both join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 75 * (x.n + y.n - c)),
+r as (select doc_id as a, doc_id as b from documents union select r.a, e.b from r join e on r.b = e.a),
+m as (select a as doc_id, min(b) as component_id from r group by 1)
+select doc_id, coalesce(n, 0)::bigint as n_shingles, component_id, doc_id = component_id as kept
+from documents left join n using (doc_id) join m using (doc_id)"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op3_warc": _op3(),
+        "op4_mixing": _op4(),
+        "op5_quality_rules": _op5(),
+        "op10_near_duplicates": _op10(),
+    }
