@@ -85,7 +85,7 @@ IS_BLANK[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-_WEIGHTS = mix(np.arange(1001, 1065, dtype=np.uint64)) | np.uint64(1)
+WEIGHTS = mix(np.arange(1001, 1065, dtype=np.uint64)) | np.uint64(1)
 
 
 def windows(hashes: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -97,12 +97,12 @@ def windows(hashes: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarra
     n = len(hashes)
     total = np.zeros(max(0, n - size + 1), dtype=np.uint64)
     for k in range(size):
-        total += hashes[k : n - size + 1 + k] * _WEIGHTS[k] if len(total) else total
+        total += hashes[k : n - size + 1 + k] * WEIGHTS[k] if len(total) else total
     owner = np.repeat(np.arange(len(counts)), counts)
     whole = np.flatnonzero(owner[: len(total)] == owner[size - 1 :]) if len(total) else np.zeros(0, dtype=np.int64)
     short = np.flatnonzero((counts > 0) & (counts < size))
     extra = np.array(
-        [(hashes[first[d] : first[d + 1]] * _WEIGHTS[: counts[d]]).sum(dtype=np.uint64) ^ _WEIGHTS[size + counts[d]] for d in short],
+        [(hashes[first[d] : first[d + 1]] * WEIGHTS[: counts[d]]).sum(dtype=np.uint64) ^ WEIGHTS[size + counts[d]] for d in short],
         dtype=np.uint64,
     )
     found = mix(np.concatenate([total[whole], extra]))

@@ -6,7 +6,7 @@ Constants are written out; nothing is taken from the operators.
 from __future__ import annotations
 
 BLANK = "[\\x20\\x09-\\x0D]"
-WORDS = f"list_filter(regexp_split_to_array(coalesce(text, ''), '{BLANK}+'), w -> w <> '')"
+WORDS = f"list_filter(regexp_split_to_array(coalesce(text, ''), '{BLANK}+'), lambda w: w <> '')"
 
 
 def _op3() -> str:
@@ -94,7 +94,7 @@ c as materialized (
     (len(l) - len(list_distinct(l)))::bigint as n_dup_lines, len(l)::bigint as n_lines,
     coalesce(n, 0)::bigint as n_repeat_words,
     len(w) < 50 or 100 * coalesce(n, 0) > 50 * len(w) as base_failed
-  from (select *, list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\\x20\\x09-\\x0D]')) as l from d)
+  from (select *, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) as l from d)
   left join repeats using (doc_id)),
 v as materialized ({values}),
 good as (select doc_id from labels where quality is not null group by 1 having min(quality) = 1),
@@ -115,18 +115,42 @@ select c.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, ba
 from c left join bad using (doc_id)"""
 
 
+def _op6() -> str:
+    # Lines one edit apart share the first or the last half, by the length of the shorter one.
+    return """
+with l as materialized (
+  select doc_id, no, ls[no] as line from (
+    select doc_id, ls, unnest(range(1, len(ls) + 1)) as no from (select doc_id, string_split(text, chr(10)) as ls from documents))),
+o as materialized (
+  select *, row_number() over (partition by line order by doc_id, no) as nth from l where regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
+f as materialized (select doc_id, no, line, length(line) as n from o where nth = 1 and length(line) >= 20),
+k as materialized (
+  select f.*, m, side, if(side = 0, left(line, m // 2), right(line, m - m // 2)) as part
+  from f, (select unnest([0, 1]) as side), lateral (select unnest([n, n - 1]) as m)),
+near as (
+  select distinct b.doc_id, b.no from k a join k b on a.m = b.m and a.side = b.side and a.part = b.part
+  where (a.doc_id, a.no) < (b.doc_id, b.no) and levenshtein(a.line, b.line) = 1),
+gone as (select doc_id, no from o where nth > 1 union select doc_id, no from near),
+left_over as (
+  select l.doc_id, string_agg(l.line, chr(10) order by l.no) as text from l left join gone g using (doc_id, no) where g.no is null group by 1),
+n as (select doc_id, count(*) as n from o group by 1),
+r as (select doc_id, count(*) as n from gone group by 1)
+select d.doc_id, coalesce(n.n, 0)::bigint as n_lines, coalesce(r.n, 0)::bigint as n_removed, sha256(coalesce(t.text, '')) as kept_sha256
+from documents d left join left_over t using (doc_id) left join n using (doc_id) left join r using (doc_id)"""
+
+
 def _op10() -> str:
     return f"""
 with recursive w as materialized (
-  select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{BLANK}+'), x -> x <> '') as w
+  select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{BLANK}+'), lambda x: x <> '') as w
   from documents),
 s as materialized (
   select distinct doc_id, g from (
     select doc_id, w[j:j + 4] as g from (select doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) as j from w where len(w) > 0))),
 n as materialized (select doc_id, count(*) as n from s group by 1),
-both as (select a.doc_id as a, b.doc_id as b, count(*) as c from s a join s b on a.g = b.g and a.doc_id <> b.doc_id group by 1, 2),
+pair as (select a.doc_id as a, b.doc_id as b, count(*) as c from s a join s b on a.g = b.g and a.doc_id <> b.doc_id group by 1, 2),
 e as materialized (
-  select a, b from both join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 75 * (x.n + y.n - c)),
+  select a, b from pair join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 75 * (x.n + y.n - c)),
 r as (select doc_id as a, doc_id as b from documents union select r.a, e.b from r join e on r.b = e.a),
 m as (select a as doc_id, min(b) as component_id from r group by 1)
 select doc_id, coalesce(n, 0)::bigint as n_shingles, component_id, doc_id = component_id as kept
@@ -138,5 +162,6 @@ def oracle_sql() -> dict[str, str]:
         "op3_warc": _op3(),
         "op4_mixing": _op4(),
         "op5_quality_rules": _op5(),
+        "op6_line_dedup": _op6(),
         "op10_near_duplicates": _op10(),
     }

@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, mixing, neardup, pii, quality, toxicity, warc
+from . import decontaminate, language, lines, mixing, neardup, pii, quality, toxicity, warc
 from .common import fold, table
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     folder, directory = warc.write_warc(spark, pages)
@@ -28,6 +32,12 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"), counts=True)
+    kept = F.sha2(F.coalesce("text", F.lit("")), 256)
+    return found.select("doc_id", "n_lines", "n_removed", kept.alias("kept_sha256"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = language.identify(docs, F.col("lang").isNotNull() & (fold(F.col("doc_id"), 3) != 1))
