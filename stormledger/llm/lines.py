@@ -140,7 +140,7 @@ def repeated(keyed: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     return again.union(checked).groupBy("doc_id", "text_hash").agg(F.collect_set("no").alias("gone"))
 
 
-def deduplicated(docs: DataFrame, cfg: Settings = Settings(), counts: bool = False) -> DataFrame:
+def deduplicated(docs: DataFrame, cfg: Settings = Settings(), counts: bool = False, emptied: bool = True) -> DataFrame:
     """The documents, with all their columns, without lines that repeat an earlier line.
 
     A line is removed if an equal line, or one within one edit where both have `least_fuzzy` characters
@@ -149,6 +149,7 @@ def deduplicated(docs: DataFrame, cfg: Settings = Settings(), counts: bool = Fal
     the same places, so a line they share is the earliest in each of them and stays; a null id is
     smaller than all others. A null text stays null. A line break before the first kept line goes with
     the lines removed. With `counts` there are also n_lines, of those with more than blanks, and n_removed.
+    Without `emptied`, documents that lost all their lines are left out.
     """
     gone = stored(repeated(_keyed(docs), cfg), "gone")
     text = F.col("row.text").cast("string")
@@ -159,13 +160,15 @@ def deduplicated(docs: DataFrame, cfg: Settings = Settings(), counts: bool = Fal
     )
     met = rows.join(gone.toDF("key_id", "key_hash", "gone"), ["key_id", "key_hash"], "left")
     lines = F.split(text, "\n")
+    full = F.filter(lines, lambda line: F.btrim(line, F.lit(BLANKS)) != "")
+    if not emptied:
+        met = met.where(F.col("gone").isNull() | (F.size("gone") < F.size(full)))
     stay = F.array_sort(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone")))
     kept = F.when(F.col("gone").isNull(), text).otherwise(
         F.transform(F.array(lines), lambda held: F.array_join(F.transform(stay, lambda i: held[i]), "\n"))[0]
     )
     columns = [kept.alias("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns]
     if counts:
-        full = F.filter(lines, lambda line: F.btrim(line, F.lit(BLANKS)) != "")
         columns += [
             F.coalesce(F.size(full), F.lit(0)).cast("long").alias("n_lines"),
             F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
