@@ -7,8 +7,7 @@ difference of its two ranks, or the profile length where the language's profile
 
 from __future__ import annotations
 
-import re
-from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,98 +15,165 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import mapped
+from stormledger.storage import stored
+
+from .common import mapped, pieces
 
-LETTERS = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 # Profiles travel with the tasks: `length` short rows per language, and no more languages than this.
 MOST_LANGUAGES = 2_000
+PIECE = 1 << 20
+# Up to so many n-grams of an alphabet are counted in a table; beyond, by sorting.
+TABLE = 1 << 19
 
 
 @dataclass(frozen=True)
 class Settings:
-    sizes: tuple[int, ...] = (1, 2, 3)
     length: int = 400
-    # Distinct n-grams a task holds before it passes on its counts.
-    held: int = 500_000
 
 
-def _grams(word: str, sizes: tuple[int, ...]) -> list[str]:
-    padded = f"_{word}_"
-    found = [padded[i : i + n] for n in sizes if n > 1 for i in range(len(padded) - n + 1)]
-    return [*word, *found] if 1 in sizes else found
+_is_letter: list[np.ndarray] = []
+
 
+def _letters(points: np.ndarray) -> np.ndarray:
+    if not _is_letter:
+        _is_letter.append(np.fromiter((chr(i).isalpha() for i in range(0x110000)), dtype=bool, count=0x110000))
+    return _is_letter[0][points]
 
-def _counts(word_counts: dict[str, int], sizes: tuple[int, ...]) -> dict[str, int]:
-    counts: dict[str, int] = {}
-    get = counts.get
-    for word, n in word_counts.items():
-        for gram in _grams(word, sizes):
-            counts[gram] = get(gram, 0) + n
-    return counts
 
+@dataclass
+class Grams:
+    """The n-grams of one to three letters of a list of texts, as numbers.
+
+    Words are bounded by `_`, which counts as a letter of theirs at either end. In the alphabet of these
+    texts `_` is 0 and letters follow by code point, so numbers sort by length and then by characters.
+    """
 
-def ranked(counts: dict[str, int], length: int) -> list[str]:
-    """The most frequent n-grams first; equal counts in the order of their characters."""
-    return sorted(counts, key=lambda g: (-counts[g], g))[:length]
+    alphabet: np.ndarray
+    codes: np.ndarray
+    bounds: np.ndarray
+
+    @property
+    def size(self) -> int:
+        return len(self.alphabet)
+
+    def number(self, gram: str) -> int:
+        """The number of an n-gram, or -1 where one of its letters does not occur."""
+        points = np.array([0 if c == "_" else ord(c) for c in gram], dtype=np.uint32)
+        ids = np.minimum(np.searchsorted(self.alphabet, points), self.size - 1)
+        if (self.alphabet[ids] != points).any():
+            return -1
+        code = 0
+        for i in ids:
+            code = code * self.size + int(i)
+        return code + sum(self.size**n for n in range(1, len(gram)))
+
+    def gram(self, code: int) -> str:
+        n = 1
+        while code >= self.size**n:
+            code, n = code - self.size**n, n + 1
+        letters = []
+        for _ in range(n):
+            code, i = divmod(code, self.size)
+            letters.append("_" if i == 0 else chr(self.alphabet[i]))
+        return "".join(reversed(letters))
+
+    def counted(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct numbers and how often each occurs."""
+        if self.size + self.size**2 + self.size**3 <= TABLE:
+            counts = np.bincount(codes)
+            found = np.flatnonzero(counts)
+            return found, counts[found]
+        return np.unique(codes, return_counts=True)
+
+
+def grams(texts: list[str | None]) -> Grams:
+    lowered = [f" {(t or '').lower()} " for t in texts]
+    points = np.frombuffer("".join(lowered).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    at = np.concatenate([[0], np.cumsum([len(t) for t in lowered])])
+    letter = _letters(points)
+    # One boundary between words; each text begins and ends with one of its own.
+    keep = letter.copy()
+    keep[1:] |= letter[:-1]
+    keep[at[:-1]] = True
+    at = np.concatenate([[0], np.cumsum(keep)])[at]
+    points = np.where(letter, points, 0)[keep]
+    alphabet, ids = np.unique(np.concatenate([[np.uint32(0)], points]), return_inverse=True)
+    ids, n = ids[1:].astype(np.int64), len(alphabet)
+    # Three n-grams begin at each place at most; -1 where there is none.
+    codes = np.full((len(ids), 3), -1, dtype=np.int64)
+    codes[:, 0] = np.where(ids > 0, ids, -1)
+    two = ids[:-1] * n + ids[1:]
+    codes[:-1, 1] = np.where((ids[:-1] > 0) | (ids[1:] > 0), n + two, -1)
+    codes[:-2, 2] = np.where(ids[1:-1] > 0, n + n * n + two[:-1] * n + ids[2:], -1)
+    # None reaches into the next text, which begins with a boundary as this one ends with one.
+    real = codes >= 0
+    return Grams(alphabet, codes[real], np.concatenate([[0], np.cumsum(real.sum(axis=1))])[at])
 
 
 def profiles(docs: DataFrame, lang: str = "lang", cfg: Settings = Settings()) -> DataFrame:
     """(lang, gram, rank from 0) of each language, counted over every whole text with a language."""
 
-    def count(batch: pa.RecordBatch):
-        held: dict[str, Counter] = {}
-        for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            held.setdefault(name, Counter()).update(LETTERS.findall(text.lower()))
-        for name, found in held.items():
-            while found:
-                part = dict(found.popitem() for _ in range(min(len(found), cfg.held)))
-                counts = _counts(part, cfg.sizes)
-                yield {"lang": [name] * len(counts), "gram": list(counts), "n": list(counts.values())}
-
-    known = docs.select(F.col(lang).alias("lang"), "text").where("lang is not null and text is not null")
+    def count(batch: pa.RecordBatch) -> Iterator[dict]:
+        for piece in pieces(batch, "text", PIECE):
+            by_name: dict[str, list[str]] = {}
+            for name, text in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist()):
+                by_name.setdefault(name, []).append(text)
+            for name, texts in by_name.items():
+                found = grams(texts)
+                codes, counts = found.counted(found.codes)
+                yield {"lang": [name] * len(codes), "gram": [found.gram(int(c)) for c in codes], "n": counts}
+
+    known = docs.select(F.col(lang).cast("string").alias("lang"), F.col("text").cast("string")).where("lang is not null and text is not null")
     counts = mapped(known, count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     # A language has as many n-grams as its alphabet allows, however many documents there are.
-    order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
+    order = Window.partitionBy("lang").orderBy(F.desc("n"), F.length("gram"), "gram")
     best = counts.withColumn("rank", F.row_number().over(order) - 1).where(F.col("rank") < cfg.length)
     return best.select("lang", "gram", "rank")
 
 
 def collected(profile_rows: DataFrame) -> dict[str, list[str]]:
     """Profiles as lists, after a check that there are no more than tasks may carry."""
-    if (n := profile_rows.select("lang").distinct().count()) > MOST_LANGUAGES:
+    rows = stored(profile_rows, "profiles")
+    if (n := rows.select("lang").distinct().count()) > MOST_LANGUAGES:
         raise ValueError(f"{n} languages; profiles are made for {MOST_LANGUAGES} at most")
     found: dict[str, list[str]] = {}
-    for row in sorted(profile_rows.collect(), key=lambda r: (r["lang"], r["rank"])):
+    for row in sorted(rows.collect(), key=lambda r: (r["lang"], r["rank"])):
         found.setdefault(row["lang"], []).append(row["gram"])
     return found
 
 
 class Matcher:
-    """Out-of-place distances of a text to every profile."""
+    """Out-of-place distances of texts to every profile."""
 
     def __init__(self, known: dict[str, list[str]], cfg: Settings):
         self.cfg, self.names = cfg, sorted(known)
-        self.rows = {g: i for i, g in enumerate(sorted({g for grams in known.values() for g in grams}))}
-        self.ranks = np.full((len(self.rows), len(self.names)), -1, dtype=np.int32)
+        self.grams = sorted({g for grams in known.values() for g in grams})
+        row = {g: i for i, g in enumerate(self.grams)}
+        self.ranks = np.full((len(self.grams) + 1, len(self.names)), -1, dtype=np.int32)
         for k, name in enumerate(self.names):
             for rank, gram in enumerate(known[name]):
-                self.ranks[self.rows[gram], k] = rank
-
-    def match(self, text: str | None) -> tuple[str, float]:
-        if not text or not self.names or not any(map(str.isalpha, text)):
-            return UNKNOWN, 0.0
-        own = ranked(_counts(Counter(LETTERS.findall(text.lower())), self.cfg.sizes), self.cfg.length)
-        if not own:
-            return UNKNOWN, 0.0
-        at = [(self.rows[g], r) for r, g in enumerate(own) if g in self.rows]
-        far = np.full(len(self.names), (len(own) - len(at)) * self.cfg.length, dtype=np.int64)
-        if at:
-            place, rank = np.array(at).T
-            theirs = self.ranks[place]
-            far += np.where(theirs < 0, self.cfg.length, np.abs(theirs - rank[:, None])).sum(axis=0)
-        best = int(far.argmin())
-        return self.names[best], 1.0 - float(far[best]) / (len(own) * self.cfg.length)
+                self.ranks[row[gram], k] = rank
+
+    def match(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        found, length = grams(texts), self.cfg.length
+        numbers = np.array([found.number(g) for g in self.grams], dtype=np.int64)
+        order = np.argsort(numbers, kind="stable")
+        numbers = numbers[order]
+        out = []
+        for start, end in zip(found.bounds[:-1], found.bounds[1:]):
+            if start == end or not self.names:
+                out.append((UNKNOWN, 0.0))
+                continue
+            codes, counts = found.counted(found.codes[start:end])
+            # Most frequent first; equal counts in the order of the numbers.
+            own = codes[np.argsort(-counts, kind="stable")[:length]]
+            place = np.minimum(np.searchsorted(numbers, own), len(numbers) - 1)
+            theirs = self.ranks[np.where(numbers[place] == own, order[place], -1)]
+            far = np.where(theirs < 0, length, np.abs(theirs - np.arange(len(own))[:, None])).sum(axis=0)
+            best = int(far.argmin())
+            out.append((self.names[best], 1.0 - float(far[best]) / (len(own) * length)))
+        return out
 
 
 def identify(docs: DataFrame, learn: Column | None = None, cfg: Settings = Settings()) -> DataFrame:
@@ -124,10 +190,10 @@ def identify(docs: DataFrame, learn: Column | None = None, cfg: Settings = Setti
 
     def predict(batch: pa.RecordBatch) -> dict:
         matcher = Matcher(known, cfg)
-        found = [matcher.match(t) for t in batch.column(1).to_pylist()]
+        found = [f for piece in pieces(batch, "text", PIECE) for f in matcher.match(piece.column("text").to_pylist())]
         return {"doc_id": batch.column(0), "lang_pred": [f[0] for f in found], "score": [f[1] for f in found]}
 
-    return mapped(docs.select(F.col("doc_id").cast("long"), "text"), predict, "doc_id long, lang_pred string, score double")
+    return mapped(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), predict, "doc_id long, lang_pred string, score double")
 
 
 def kept_languages(docs: DataFrame, learn: Column | None = None, least: float = 0.1, cfg: Settings = Settings()) -> DataFrame:
@@ -142,7 +208,7 @@ def kept_languages(docs: DataFrame, learn: Column | None = None, least: float =
     def keep(batches):
         matcher = Matcher(known, cfg)
         for batch in batches:
-            found = [matcher.match(t) for t in batch.column("text").to_pylist()]
+            found = [f for piece in pieces(batch, "text", PIECE) for f in matcher.match(piece.column("text").to_pylist())]
             yield batch.filter(pa.array([name != UNKNOWN and score >= least for name, score in found], type=pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
