@@ -244,4 +244,4 @@ def leaks(docs: DataFrame, benchmark: DataFrame, cfg: Settings = Settings()) ->
 def decontaminated(docs: DataFrame, benchmark: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     """The documents that contain no item, with all their columns."""
     found = leaks(docs, benchmark, cfg).select(F.col("doc_id").alias("leak_id")).distinct()
-    return docs.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("leak_id")), "left_anti")
+    return docs.join(found, docs["doc_id"].cast("long").eqNullSafe(found["leak_id"]), "left_anti")
