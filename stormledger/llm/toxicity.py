@@ -38,7 +38,7 @@ AROUND = ".,;:?\"'`()[]{}<>#%&^~=/\\_-!*|+…“”„«»¡¿"
 TRIPLES = [c * 3 for c in ALPHABET[1:]]
 STRETCHED = re.compile(r"[^\W\d_]*?([^\W\d_])\1\1[^\W\d_]*")
 # Three or more single letters or signs with one blank, dot, hyphen or underscore between each.
-SPACED = re.compile(r"(?<!\S)[^\W_](?:[ ._-][\w@$!|+(*]){2,40}(?!\S)")
+SPACED = re.compile(r"(?<!\S)[^\W_](?:[ ._-][\w@$!|+(*]){2,40}(?![\w@$!|+(*])")
 # Lengths of word beginnings that are features of their own.
 STEMS = (4, 5, 6)
 # Disguised words are no longer than this; longer runs of letters and digits are codes and addresses.
@@ -205,7 +205,7 @@ def lexicon(docs: DataFrame, labels: DataFrame, model: np.ndarray, cfg: Settings
     ).first()
     n_toxic, n_clean = totals["t"], totals["n"] - totals["t"]
     if not n_toxic or not n_clean:
-        return (0.0 if not n_toxic and not n_clean else math.inf if n_toxic else -math.inf), {}
+        return (math.inf if n_toxic else -math.inf), {}
     s, share = cfg.smoothing, n_toxic / (n_toxic + n_clean)
     counted = texts.mapInArrow(task, "word string, clean long, toxic long").groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     tried = stored(counted.where(F.col("toxic") >= cfg.least_documents), "words")
@@ -233,7 +233,6 @@ def scores(docs: DataFrame, labels: DataFrame, learn: Column | None = None, cfg:
     chosen = docs if learn is None else docs.where(F.coalesce(learn, F.lit(False)))
     model = character_model(docs, cfg)
     prior, odds = lexicon(chosen, labels, model, cfg)
-    none = not odds and prior == 0.0
 
     def task(batches):
         restorer = Restorer(model, cfg)
@@ -243,7 +242,7 @@ def scores(docs: DataFrame, labels: DataFrame, learn: Column | None = None, cfg:
             for text in batch.column(1).to_pylist():
                 hits = evidence.hits(restorer.words(text))
                 total = prior + sum(hits.values())
-                score.append(0.0 if none else 1 / (1 + math.exp(-max(-700.0, min(700.0, total)))))
+                score.append(1 / (1 + math.exp(-total)) if total > -700 else 0.0)
                 plain = set(WORD.findall(text.lower())) if hits else ()
                 restored.append(sum(w not in plain for w in hits))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score, pa.float64()), pa.array(restored, pa.int64())], names=["doc_id", "score", "n_restored"])
