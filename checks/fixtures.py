@@ -145,20 +145,20 @@ def outage_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested forecasts: every source row becomes an array of one step.
+    """Nested forecasts: every source row becomes an array of two steps.
 
-    Several rows then share a cell, run and lead, as in the flat form, and no rows are gathered.
-    Arrays of many steps are made by the tests.
+    The first comes under a lead that nobody asks for. Several rows then share a cell, run and lead, as
+    in the flat form, and no rows are gathered.
     """
-    step = F.struct(
-        F.col("valid_time").alias("time"),
-        "hours",
-        *[F.col(short).cast("double").alias(name) for short, name in BANDS.items()],
-    )
+
+    def step(hours):
+        bands = [F.col(short).cast("double").alias(name) for short, name in BANDS.items()]
+        return F.struct(F.col("valid_time").alias("time"), hours.alias("hours"), *bands)
+
     return _run(spark, sf_dir, FORECAST_FLAT).select(
         "cell_id",
         "lon",
         "lat",
         "init_time",
-        F.array(step).alias("forecast"),
+        F.array(step(F.col("hours") + 1), step(F.col("hours"))).alias("forecast"),
     )

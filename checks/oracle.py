@@ -8,17 +8,14 @@ from __future__ import annotations
 
 import re
 
-from stormledger.functions import flags as FL
-from stormledger.operators.evaluation import ROC_STEPS
-from stormledger.operators.skill import SWEEP_CUTOFFS
-
 from . import fixtures as FX
 
 CFG = FX.CFG
 LEADS = (24, 30, 36, 42, 48)
 TARGETS = ", ".join(f"'{f}'" for f in CFG.county_fips)
 WANTED = ", ".join(str(n) for n in CFG.lead_hours)
-INITS = ", ".join(f"timestamp '{t}'" for t in CFG.init_times())
+# Days from the start less 48 hours to the end, each at midnight.
+INITS = "select unnest(generate_series(timestamp '2023-12-30', timestamp '2024-01-31', interval 1 day))"
 SPAN = f"timestamp '{CFG.start}' and timestamp '{CFG.end}' - interval 1 microsecond"
 
 
@@ -174,9 +171,9 @@ PARTS: dict[str, str] = {
         select county_fips, day_utc,
                case when icy or (windy and agreed) then 'HIGH' when windy then 'MEDIUM' else 'LOW' end as tier,
                ws10_daymax, wind_consistency, hail_consistency,
-               concat_ws('; ', case when windy then '{FL.REASON_WIND}' end,
-                         case when windy and agreed then '{FL.REASON_CONFIRMED}' end,
-                         case when icy then '{FL.REASON_HAIL}' end) as reason_codes
+               concat_ws('; ', case when windy then 'wind>=county p90' end,
+                         case when windy and agreed then 'multi-lead-confirmed' end,
+                         case when icy then 'hail-ingredients' end) as reason_codes
         from per_day""",
     "scorable": f"""
         select * from master
@@ -257,19 +254,29 @@ WKT = (
 )
 WX_ROUNDED = f"* replace ({r6('t700_c_mean', 't850_c_mean', 'tp6_mm_mean')})"
 MASTER_ROUNDED = f"* replace ({r6('t700_c_mean', 't850_c_mean', 'tp6_mm_mean', 'outage_ratio_6h_mean')})"
-HEAT = ", ".join(
-    f"max(r_ws10) filter (where lead_hours = {l}) as r_ws10_{l}h,"
-    f" case when count(r_ws10) filter (where lead_hours = {l}) = 0 then null"
-    f" when max(r_ws10) filter (where lead_hours = {l}) >= 0.5 then 'strong'"
-    f" when max(r_ws10) filter (where lead_hours = {l}) >= 0.3 then 'moderate'"
-    f" when max(r_ws10) filter (where lead_hours = {l}) >= 0.1 then 'weak' else 'none' end as band_{l}h"
-    for l in LEADS
+# Every array holds the step twice, once under a lead that nobody asks for.
+BAND_SUMS = ", ".join(
+    f"round(2e0 * {c}, 6) as {c}" for c in ("u10", "v10", "u925", "v925", "u500", "v500", "omega700", "t700_k", "t850_k", "tp6_m")
 )
 
 
+def _heat(measure: str) -> str:
+    cells = ", ".join(
+        f"max({measure}) filter (where lead_hours = {l}) as r_{l}h,"
+        f" case when count({measure}) filter (where lead_hours = {l}) = 0 then null"
+        f" when max({measure}) filter (where lead_hours = {l}) >= 0.5 then 'strong'"
+        f" when max({measure}) filter (where lead_hours = {l}) >= 0.3 then 'moderate'"
+        f" when max({measure}) filter (where lead_hours = {l}) >= 0.1 then 'weak' else 'none' end as band_{l}h"
+        for l in LEADS
+    )
+    return f"""
+        select county_fips, county_name, '{measure}' as measure, {cells}
+        from corr_ join ref on county_fips_code = county_fips group by county_fips, county_name"""
+
+
 def _sweep() -> str:
     a, b = "p >= threshold", "actual_ratio >= threshold"
-    cutoffs = ", ".join(f"({c}e0)" for c in SWEEP_CUTOFFS)
+    cutoffs = "(0.01e0), (0.03e0), (0.05e0), (0.1e0), (0.15e0), (0.2e0)"
     return f"""
         select threshold, count(*) as n,
                {n(f"{a} and {b}")} as "TP", {n(f"{a} and not {b}")} as "FP",
@@ -292,7 +299,7 @@ QUERIES: dict[str, str] = {
     "counties_ref": f"select county_fips_code, state_fips_code, state_name, county_name, {WKT} as county_geom from ref",
     "init_time_list": f"select init_time, count(*) as forecast_rows from fx_flat where init_time in ({INITS}) group by 1",
     "forecast_scan": f"""
-        select cell_id, lon, lat, init_time, cast(1 as bigint) as n_steps from fx_flat where init_time in ({INITS})""",
+        select cell_id, lon, lat, init_time, cast(2 as bigint) as n_steps, {BAND_SUMS} from fx_flat where init_time in ({INITS})""",
     "explode_forecast": "select * from steps",
     "cell_features": "select * from cell_wx",
     "aoi_filter": "select * from aoi",
@@ -305,6 +312,8 @@ QUERIES: dict[str, str] = {
     "event_marks": f"""
         select county_fips, ts, count(*) as readings, max(outage_ratio) as outage_ratio,
                coalesce(bool_or(is_on), false) as outage_on,
+               cast(list(case when prev_ts is not null then coalesce(prev_on, false) end
+                         order by outage_ratio nulls first)[1] as varchar) as prev_outage_on,
                {minutes("min(prev_ts)", "ts")} as gap_min, cast(max(starts) as bigint) as is_start,
                cast(max(number) filter (where is_on) as bigint) as event_id
         from numbered group by county_fips, ts""",
@@ -334,9 +343,7 @@ QUERIES: dict[str, str] = {
                round(count(*) filter (where any_flag_anylead = 1) * 1e0 / nullif(count(*), 0), 6) as detection_rate,
                cast(median(earliest_lead_h) as double) as median_earliest_lead_h
         from coverage""",
-    "correlation_heatmap": f"""
-        select county_fips, county_name, {HEAT}
-        from corr_ join ref on county_fips_code = county_fips group by county_fips, county_name""",
+    "correlation_heatmap": " union all ".join(map(_heat, ("r_ws10", "r_ws925", "r_shear", "r_updraft", "r_precip", "r_t700"))),
     "unit_conversions": """
         select county_fips, valid_ts, lead_hours, round(ws10_max_mps * 2.237e0, 6) as ws10_mph,
                round(ws10_max_mps * 1.944e0, 6) as ws10_knots, round(outage_ratio_6h_max * 100e0, 6) as outage_pct
@@ -369,9 +376,19 @@ QUERIES: dict[str, str] = {
                {n("p >= threshold and actual_event = 0")} as false_positives,
                {n("p < threshold and actual_event = 0")} as true_negatives,
                {n("p < threshold and actual_event = 1")} as false_negatives
-        from scores, (select range * 1e0 / {ROC_STEPS} as threshold from range({ROC_STEPS + 1})) group by threshold""",
+        from scores, (select range * 1e0 / 100 as threshold from range(101)) group by threshold""",
     "threshold_sweep": _sweep(),
 }
+STORED = {
+    "correlation": ["weather_features", "outage_6h_qc", "county_thresholds", "outage_events", "event_coverage", "daily_plan",
+                    "lead_performance", "correlations"],
+    "ml-data": ["training_data"],
+}
+QUERIES["pipeline_runs"] = " union all ".join(
+    f"select '{phase}' as phase, '{step}' as step, 'OK' as status, (select count(*) from ({QUERIES[step]})) as n_rows"
+    for phase, steps in STORED.items() for step in steps
+)
+
 
 def portable(name: str) -> str:
     casts = ", ".join(f"cast({c} as {t}) as {c}" for c, t in FX.COMPARED_AS.get(name, {}).items())

@@ -2,4 +2,6 @@
 
 from .config import Config
 
-__all__ = ["Config"]
+__version__ = "0.2.0"
+
+__all__ = ["Config", "__version__"]

@@ -9,6 +9,7 @@ from collections.abc import Mapping
 from dataclasses import asdict, dataclass, fields
 from datetime import datetime, time, timedelta
 
+FAMILIES = ("logistic", "forest", "boosted")
 REQUIRED = ("county_fips", "start_date", "end_date")
 
 
@@ -38,7 +39,8 @@ class Config:
     ml_learn_rate: float = 0.1
     ml_min_tree_child_weight: int = 5
     ml_subsample: float = 0.8
-    ml_budget_candidates: int = 3
+    # Families that `automl` tries; all of them, in this order.
+    automl_families: tuple[str, ...] = ("logistic", "forest", "boosted")
 
     # Geometry of the forecast grid and of the spatial index.
     cell_half_deg: float = 0.125
@@ -48,9 +50,8 @@ class Config:
     wind_quantile: float = 10 / 11
     updraft_quantile: float = 4 / 5
 
-    # Physical limits. They change how a plan runs, never what it returns.
-    broadcast_rows: int = 200_000
-    event_pieces: int = 50_000
+    # Length of the pieces a county's history is ordered in. It changes how a plan runs, never what it returns.
+    event_piece_hours: int = 12
 
     def __post_init__(self) -> None:
         missing = [name for name in REQUIRED if not getattr(self, name)]
@@ -60,6 +61,10 @@ class Config:
             raise ValueError("start_date must not be after end_date")
         if not self.lead_hours or not self.init_hours:
             raise ValueError("lead_hours and init_hours must not be empty")
+        if self.event_piece_hours not in (1, 2, 3, 4, 6, 8, 12, 24):
+            raise ValueError("event_piece_hours must divide a day")
+        if not self.automl_families or set(self.automl_families) - set(FAMILIES):
+            raise ValueError(f"automl_families must name some of {', '.join(FAMILIES)}")
 
     @property
     def start(self) -> datetime:
@@ -69,13 +74,6 @@ class Config:
     def end(self) -> datetime:
         return datetime.fromisoformat(self.end_date)
 
-    @property
-    def event_piece_minutes(self) -> int:
-        """Length of the pieces a county's history is cut into, so that there are at most about
-        `event_pieces` of them however long the window: a divisor of a day."""
-        least = (self.end - self.start) / timedelta(minutes=1) / self.event_pieces
-        return next((m for m in range(1, 1440) if 1440 % m == 0 and m >= least), 1440)
-
     def init_times(self) -> list[datetime]:
         """Every run that can have a configured lead valid inside the window.
 

@@ -8,15 +8,14 @@ from pyspark.sql import functions as F
 from ..config import Config
 from ..functions.flags import as_int, hail_flag, wind_flag
 from ..functions.times import BLOCK_HOURS, block_end_6h, block_start_6h, in_window, minutes_between
-from ..storage import broadcast_per_county
 
 # The leads that get a flag column are fixed; the earliest lead considers every lead present.
 FLAG_LEADS = (24, 30, 36, 42, 48)
 
 
-def with_thresholds(rows: DataFrame, thresholds: DataFrame, cfg: Config) -> DataFrame:
-    """Attach each county's thresholds: one narrow row per county of the settings."""
-    return rows.join(broadcast_per_county(thresholds, cfg), "county_fips")
+def with_thresholds(rows: DataFrame, thresholds: DataFrame) -> DataFrame:
+    """Attach each county's thresholds. Stored ones have a known size, by which Catalyst broadcasts them."""
+    return rows.join(thresholds, "county_fips")
 
 
 def wx_lead_flags(features: DataFrame, thresholds: DataFrame, cfg: Config) -> DataFrame:
@@ -27,7 +26,7 @@ def wx_lead_flags(features: DataFrame, thresholds: DataFrame, cfg: Config) -> Da
         return F.max(as_int((F.col("lead_hours") == lead) & flag))
 
     return (
-        with_thresholds(features.where(in_window(F.col("hour_ts"), cfg)), thresholds, cfg)
+        with_thresholds(features.where(in_window(F.col("hour_ts"), cfg)), thresholds)
         .groupBy("county_fips", F.col("hour_ts").alias("valid_ts"))
         .agg(
             *[at(lead, wind).alias(f"wind{lead}") for lead in FLAG_LEADS],

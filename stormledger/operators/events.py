@@ -9,8 +9,8 @@ A county may hold a large share of all readings, so its history is never ordered
 2. ordering happens inside short pieces of a county's history;
 3. one summary row per piece passes the last reading and the running event count to the next.
 
-Only the summaries are ordered per county. The length of a piece follows from the window, so a
-county has at most `Config.event_pieces` of them whatever its number of readings.
+Only the summaries are ordered per county. A piece is some hours long, so a
+county has a fixed number of them per day whatever its number of readings.
 """
 
 from __future__ import annotations
@@ -30,9 +30,16 @@ def outage_on(cfg: Config) -> Column:
 
 def _instants(readings: DataFrame, cfg: Config) -> DataFrame:
     on = outage_on(cfg)
+    piece = chunk_start(F.col("ts"), 60 * cfg.event_piece_hours)
     return (
         in_scope(readings, cfg)
-        .groupBy("county_fips", "ts")
+        .select("county_fips", piece.alias("piece"), "ts", "outage_ratio")
+        # Always true. The join below implies it for one side; stated here, both sides plan alike
+        # and share their shuffle.
+        .where(F.col("piece").isNotNull())
+        # The only shuffle of readings: instants, windows and the join all keep to it.
+        .repartition("county_fips", "piece")
+        .groupBy("county_fips", "piece", "ts")
         .agg(
             F.count(F.lit(1)).alias("readings"),
             F.max("outage_ratio").alias("outage_ratio"),
@@ -40,10 +47,6 @@ def _instants(readings: DataFrame, cfg: Config) -> DataFrame:
             (F.count_if(on) == F.count(F.lit(1))).alias("opens_on"),
             (F.count_if(on) > 0).alias("closes_on"),
         )
-        .withColumn("piece", chunk_start(F.col("ts"), cfg.event_piece_minutes))
-        # Always true. The join below implies it for one side; stated here, both sides plan alike
-        # and share their shuffles.
-        .where(F.col("piece").isNotNull())
     )
 
 

@@ -116,24 +116,24 @@ def train_logistic(data: DataFrame, cfg: Config) -> PipelineModel:
 
 
 def model_search(data: DataFrame, cfg: Config) -> PipelineModel:
-    """Best of several families by ROC AUC on the validation rows, within a budget of candidates."""
+    """Best of the configured families by ROC AUC on the validation rows; the first of equal ones."""
     rows = _prepared(balanced_weights(data)).persist(StorageLevel.MEMORY_AND_DISK)
-    candidates = [
-        (_logistic(cfg), False),
-        (
+    families = {
+        "logistic": (_logistic(cfg), False),
+        "forest": (
             RandomForestClassifier(
                 labelCol="outage_event", weightCol="weight", featuresCol="features",
                 maxDepth=TREE_DEPTH, minInstancesPerNode=cfg.ml_min_tree_child_weight, seed=SEED,
             ),
             False,
         ),
-        (GBTClassifier(labelCol="outage_event", weightCol="weight", **_tree_options(cfg)), True),
-    ]
+        "boosted": (GBTClassifier(labelCol="outage_event", weightCol="weight", **_tree_options(cfg)), True),
+    }
     score = BinaryClassificationEvaluator(labelCol="outage_event", metricName="areaUnderROC", numBins=0)
     try:
         held_out = rows.where("validation")
         best, best_auc = None, float("-inf")
-        for learner, validated in candidates[: max(1, cfg.ml_budget_candidates)]:
+        for learner, validated in (families[name] for name in cfg.automl_families):
             model = _fit(rows, learner, validated)
             auc = score.evaluate(model.transform(held_out))
             if best is None or auc > best_auc:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.scores import safe_ratio
 
 # Fixed bounds of the correlation bands.
+MEASURES = ("r_ws10", "r_ws925", "r_shear", "r_updraft", "r_precip", "r_t700")
 BANDS = ((0.5, "strong"), (0.3, "moderate"), (0.1, "weak"))
 
 
@@ -84,11 +85,12 @@ def correlation_band(r: Column) -> Column:
     return band.otherwise("none")
 
 
-def correlation_heatmap(view: DataFrame, leads: tuple[int, ...], measure: str = "r_ws10") -> DataFrame:
-    """One correlation as counties by leads, each with its band."""
-    grid = view.groupBy("county_fips", "county_name").pivot("lead_hours", list(leads)).agg(F.first(measure))
+def correlation_heatmap(view: DataFrame, leads: tuple[int, ...], measures: tuple[str, ...] = MEASURES) -> DataFrame:
+    """Each correlation as counties by leads, a row per county and measure, with a band for every cell."""
+    long = view.unpivot(["county_fips", "county_name", "lead_hours"], list(measures), "measure", "r")
+    grid = long.groupBy("county_fips", "county_name", "measure").pivot("lead_hours", list(leads)).agg(F.first("r"))
     cells = [c for lead in leads for c in (
-        F.col(str(lead)).alias(f"{measure}_{lead}h"),
+        F.col(str(lead)).alias(f"r_{lead}h"),
         correlation_band(F.col(str(lead))).alias(f"band_{lead}h"),
     )]
-    return grid.select("county_fips", "county_name", *cells)
+    return grid.select("county_fips", "county_name", "measure", *cells)

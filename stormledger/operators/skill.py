@@ -27,7 +27,7 @@ def lead_performance(master: DataFrame, thresholds: DataFrame, cfg: Config) -> D
     flag = wind_flag() | hail_flag(cfg)
     truth = F.col("outage_ratio_6h_max") >= F.lit(cfg.outage_threshold)
     return (
-        with_thresholds(scorable(master, cfg), thresholds, cfg)
+        with_thresholds(scorable(master, cfg), thresholds)
         .select("county_fips", "lead_hours", flag.alias("flag"), truth.alias("truth"))
         .groupBy("county_fips", "lead_hours")
         .agg(F.count(F.lit(1)).alias("n_scored"), *tally(F.col("flag"), F.col("truth")))

@@ -92,9 +92,10 @@ def near_pairs(cells: DataFrame, counties: DataFrame, cfg: Config) -> DataFrame:
         .join(tiles, ["tx", "ty"])
         .where(G.box_within(half, r))
         .drop("tx", "ty", "ty0", "ty1")
-        # Few bytes but much arithmetic per row: spread over all cores, which adaptive merging by
-        # size would undo. Grouping by cell later needs no further shuffle.
-        .repartition(cells.sparkSession.sparkContext.defaultParallelism, "cell_id")
+        # Few bytes but much arithmetic per row: spread over the session's shuffle partitions. A stated
+        # number keeps adaptive execution from merging them by size. Grouping by cell later needs no
+        # further shuffle.
+        .repartition(int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions")), "cell_id")
     )
     # The outline's sides are fetched per candidate, not carried on every tile.
     sides = regions.select("county_fips", F.when(~F.col("boxed"), F.col("side")).alias("side"))

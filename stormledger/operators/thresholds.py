@@ -8,19 +8,16 @@ from pyspark.sql import functions as F
 from ..config import Config
 from ..functions.times import in_window
 
-# Rank error of the quantile sketch is 1 / ACCURACY; counties with fewer rows get exact values.
-ACCURACY = 10_000
-
-
 def county_thresholds(features: DataFrame, cfg: Config) -> DataFrame:
     """High quantiles of wind and updraft over all leads of each county.
 
     Wind is cut into 11 equal parts and the tenth boundary taken, hence the 10/11 quantile under
-    names that say p90. Sketches merge, so a county with many rows is not gathered in one place.
+    names that say p90. Quantiles are exact: of each county and value only a count is kept, and a county
+    has no more rows than the window has hours and leads.
     """
 
     def quantile(column: str, level: float):
-        return F.percentile_approx(column, level, ACCURACY)
+        return F.expr(f"percentile_disc({level!r}D) WITHIN GROUP (ORDER BY {column})")
 
     return (
         features.where(in_window(F.col("hour_ts"), cfg))

@@ -18,7 +18,7 @@ from ..operators.plan import daily_plan
 from ..operators.skill import correlations, lead_performance, threshold_sweep
 from ..operators.thresholds import county_thresholds
 from ..operators.training import training_data
-from ..operators.weather_features import cell_map, county_weather, save_weather_features, weather_features
+from ..operators.weather_features import cell_map, county_weather, save_weather_features, scope_forecasts
 from .workspace import Step, Workspace
 
 
@@ -27,10 +27,14 @@ def _outages(ws: Workspace) -> DataFrame:
 
 
 def _weather(ws: Workspace) -> DataFrame:
+    """County weather from scoped forecasts and the cell map, which is a step of its own."""
+    scoped = scope_forecasts(ws.scan(), ws.get("counties_ref"), ws.cfg)
+    return county_weather(scoped, ws.get("cell_map"), ws.cfg)
+
+
+def _cells(ws: Workspace) -> DataFrame:
     counties = ws.get("counties_ref")
-    if ws.dry:
-        return county_weather(ws.forecasts, cell_map(ws.forecasts, counties, ws.cfg), ws.cfg)
-    return weather_features(ws.forecasts, counties, ws.cfg)
+    return cell_map(scope_forecasts(ws.scan(), counties, ws.cfg), counties, ws.cfg)
 
 
 def _coverage(ws: Workspace) -> DataFrame:
@@ -39,10 +43,11 @@ def _coverage(ws: Workspace) -> DataFrame:
 
 
 def correlation_steps() -> list[Step]:
-    """The thresholds are stored although cheap: three later steps read them."""
+    """Thresholds, blocks and the plan are stored although cheap: several later steps read them."""
     return [
+        Step("cell_map", "table", _cells),
         Step("weather_features", "table", _weather, save_weather_features, drop=("hour_date",)),
-        Step("outage_6h_qc", "view", lambda ws: outage_6h_qc(_outages(ws), ws.cfg)),
+        Step("outage_6h_qc", "table", lambda ws: outage_6h_qc(_outages(ws), ws.cfg)),
         Step("six_hour_grid", "view", lambda ws: six_hour_grid(ws.get("counties_ref"), ws.cfg)),
         Step("county_thresholds", "table", lambda ws: county_thresholds(ws.get("weather_features"), ws.cfg)),
         Step(
@@ -56,7 +61,7 @@ def correlation_steps() -> list[Step]:
         Step("event_coverage", "table", _coverage),
         Step(
             "daily_plan",
-            "view",
+            "table",
             lambda ws: daily_plan(ws.get("weather_features"), ws.get("county_thresholds"), ws.cfg),
         ),
         Step(

@@ -53,8 +53,11 @@ def explode_forecast(forecasts: DataFrame, cfg: Config, *keep: str) -> DataFrame
     interprets. `keep` names further columns to carry along.
     """
     bands = [F.col(f"`{name}`").alias(short) for short, name in BANDS.items()]
+    # Naming the fields keeps other bands of a wide table from being read.
+    fields = ["time", "hours", *BANDS.values()]
+    steps = F.arrays_zip(*[F.col("forecast").getField(name).alias(name) for name in fields])
     return (
-        forecasts.select("cell_id", "init_time", *keep, F.inline("forecast"))
+        forecasts.select("cell_id", "init_time", *keep, F.inline(steps))
         .where(F.col("hours").isin(*cfg.lead_hours) & in_window(F.col("time"), cfg))
         .select(
             "cell_id",

@@ -15,9 +15,10 @@ from .tables import write_clustered, write_table
 def load_outage_csv(spark: SparkSession, path: str) -> DataFrame:
     """Read comma-separated readings with one header row, under a declared schema.
 
-    The header must name the declared columns: other files fail instead of filling wrong columns.
+    The header must name the declared columns, and every line must have them all, readable as their
+    types or empty: other files fail instead of filling wrong columns or leaving values out.
     """
-    return spark.read.schema(OUTAGE_RAW).options(header=True, enforceSchema=False).csv(path)
+    return spark.read.schema(OUTAGE_RAW).options(header=True, enforceSchema=False, mode="FAILFAST").csv(path)
 
 
 def save_outage_raw(readings: DataFrame, path: str, mode: str = "overwrite") -> None:

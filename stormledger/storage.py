@@ -1,4 +1,4 @@
-"""Where intermediate data goes, and when a side may be broadcast."""
+"""Where intermediate data goes."""
 
 from __future__ import annotations
 
@@ -6,9 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from .config import Config
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -44,11 +41,3 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def broadcast_per_county(df: DataFrame, cfg: Config) -> DataFrame:
-    """Broadcast a result that holds at most one narrow row per configured county.
-
-    The bound is the length of the settings list, known before anything runs.
-    """
-    return F.broadcast(df) if len(cfg.county_fips) <= cfg.broadcast_rows else df

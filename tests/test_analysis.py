@@ -248,7 +248,8 @@ def test_heatmap_bands(spark):
         [(A, "x", 24, 0.5), (A, "x", 30, 0.3), (A, "x", 36, 0.1), (A, "x", 42, -0.9)],
         "county_fips string, county_name string, lead_hours bigint, r_ws10 double",
     )
-    r = correlation_heatmap(view, (24, 30, 36, 42, 48)).first()
+    r = correlation_heatmap(view, (24, 30, 36, 42, 48), ("r_ws10",)).first()
+    assert r.measure == "r_ws10"
     assert [r[f"band_{l}h"] for l in (24, 30, 36, 42, 48)] == ["strong", "moderate", "weak", "none", None]
 
 

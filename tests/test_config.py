@@ -45,6 +45,7 @@ def test_init_time_filter_is_the_list(spark):
     assert sorted(r.init_time for r in df.where(in_init_times(cfg)).collect()) == sorted(cfg.init_times())
 
 
-def test_event_pieces_stay_few():
-    for end, length in (("2024-04-09", 1), ("2025-03-10", 12), ("2034-03-10", 120)):
-        assert config(end_date=end).event_piece_minutes == length
+def test_settings_that_cannot_work_are_refused():
+    for bad in ({"event_piece_hours": 5}, {"automl_families": ()}, {"automl_families": ("logistic", "other")}):
+        with pytest.raises(ValueError):
+            config(**bad)

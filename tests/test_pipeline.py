@@ -43,6 +43,7 @@ def inputs(spark, tmp_path_factory):
 def test_phase_order():
     assert ordered_phases(["serving", "correlation", "serving"]) == ["correlation", "serving"]
     assert ordered_phases(["all"]) == ["correlation", "ml", "serving"]
+    assert ordered_phases(["ml-eval", "ml", "ml-data"]) == ["ml"] and ordered_phases(["ml-eval", "ml-data"]) == ["ml-data", "ml-eval"]
     with pytest.raises(ValueError):
         ordered_phases(["looks"])
 
@@ -52,6 +53,7 @@ def test_dry_run_stores_nothing(spark, inputs):
     got = run_phases(spark, CFG, root, forecasts, dry_run=True)
     assert {r.status for r in got} == {"PLANNED"}
     plans = {r.step: r.detail for r in got}
+    assert "GreaterThanOrEqual(lon" in plans["weather_features"]
     assert "Physical Plan" in plans["event_coverage"] and plans["model_regressor"] == ""
     assert not Workspace(spark, CFG, root).is_built("weather_features")
     assert recent_runs(spark, root).count() == 0
@@ -83,12 +85,47 @@ def test_first_failure_stops_and_is_logged(spark, inputs, tmp_path):
     root, forecasts = inputs
     broken = forecasts.drop("forecast")
     got = run_phases(spark, config(**{**CFG.__dict__, "outage_threshold": 0.3}), root, broken, ["correlation", "serving"])
-    assert [(r.step, r.status) for r in got] == [("weather_features", "FAILED")]
+    assert [(r.step, r.status) for r in got] == [("cell_map", "OK"), ("weather_features", "FAILED")]
     last = recent_runs(spark, root, 1).first()
     assert (last.status, last.steps_failed, last.phase) == ("FAILED", 1, "correlation")
     assert not Workspace(spark, CFG, root).is_built("weather_features")
 
 
+def test_resume_rebuilds_whatever_follows_from_a_new_input(spark, inputs, tmp_path, monkeypatch):
+    from stormledger.plans import steps
+
+    _, forecasts = inputs
+    raw = spark.read.parquet(f"{inputs[0]}/outage_raw")
+    counties = spark.read.parquet(f"{inputs[0]}/counties_ref").drop("state_name")
+    states = spark.createDataFrame([("01", "Alabama")], "state_fips_code string, state_name string")
+    roots = {name: str(tmp_path / name) for name in ("resumed", "fresh")}
+    run_setup(spark, roots["resumed"], raw, counties, states)
+    assert {r.status for r in run_phases(spark, CFG, roots["resumed"], forecasts, ["correlation"])} == {"OK"}
+    half = raw.where("minute(run_start_time) = 0 and customers_out % 2 = 0")
+    for root in roots.values():
+        run_setup(spark, root, half, counties, states)
+
+    def fails(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(steps, "event_coverage", fails)
+        got = run_phases(spark, CFG, roots["resumed"], forecasts, ["correlation"])
+    assert got[-1].step == "event_coverage" and got[-1].status == "FAILED"
+    got = {r.step: r.status for r in run_phases(spark, CFG, roots["resumed"], forecasts, ["correlation"], resume=True)}
+    assert got["outage_events"] == "SKIPPED"
+    assert {got[s] for s in ("event_coverage", "lead_performance", "correlations")} == {"OK"}
+    run_phases(spark, CFG, roots["fresh"], forecasts, ["correlation"])
+    for name in ("lead_performance", "correlations", "event_coverage", "outage_6h_qc"):
+        resumed, fresh = (
+            sorted(str([round(v, 9) if isinstance(v, float) else v for v in r]) for r in rows(spark.read.parquet(f"{roots[k]}/{name}")))
+            for k in ("resumed", "fresh")
+        )
+        assert resumed == fresh
+    other = run_phases(spark, CFG, roots["fresh"], forecasts, ["correlation"], resume=True, forecasts_id="next day")
+    assert {r.step: r.status for r in other}["weather_features"] == "OK"
+
+
 def test_loading_twice_adds_nothing(spark, tmp_path):
     csv = tmp_path / "in.csv"
     csv.write_text("fips_code,county,state,customers_out,run_start_time,total_customers\n"
@@ -101,6 +138,14 @@ def test_loading_twice_adds_nothing(spark, tmp_path):
         assert spark.read.parquet(str(tmp_path / "raw")).count() == n
 
 
+@pytest.mark.parametrize("line", ["1001,A,S,twelve,2024-03-10 00:00:00,2", "1001,A,S,1,not-a-time,2", "1001,A,S"])
+def test_unreadable_lines_are_refused(spark, tmp_path, line):
+    csv = tmp_path / "in.csv"
+    csv.write_text(f"fips_code,county,state,customers_out,run_start_time,total_customers\n1001,A,S,1,2024-03-10 00:00:00,2\n{line}\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        load_outage_csv(spark, str(csv)).collect()
+
+
 def test_other_headers_are_refused(spark, tmp_path):
     csv = tmp_path / "in.csv"
     csv.write_text("county,fips_code,state,customers_out,run_start_time,total_customers\nA,1001,S,1,2024-03-10 00:00:00,2\n")
