@@ -28,7 +28,7 @@ from stormledger.operators.weather_features import (
     weather_features,
 )
 from stormledger.plans.runs import recent_runs, run_phases, run_setup
-from stormledger.sources.counties import counties_ref
+from stormledger.sources.counties import counties_ref, outlines_from_wkt
 from stormledger.sources.forecasts import explode_forecast, forecast_scan, in_init_times, save_forecasts
 from stormledger.sources.outages import (
     load_outage_csv,
@@ -174,6 +174,13 @@ def _csv(i: Inputs) -> DataFrame:
     return load_outage_csv(i.spark, path)
 
 
+def _counties(i: Inputs) -> DataFrame:
+    """Outlines go out as text and come back from it."""
+    text = stored(FX.counties(i.spark, i.sf_dir).withColumn("county_geom", to_wkt("county_geom")), "outlines")
+    ref = counties_ref(outlines_from_wkt(text), FX.states(i.spark, i.sf_dir))
+    return ref.withColumn("county_geom", to_wkt("county_geom"))
+
+
 def _stored_outages(i: Inputs) -> DataFrame:
     path = scratch_path(i.spark, "outage_part")
     save_outage_part(i.readings, path)
@@ -259,7 +266,7 @@ BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     # Sources and sinks.
     "load_outage_csv": _csv,
     "outage_part": _stored_outages,
-    "counties_ref": lambda i: i.counties.withColumn("county_geom", to_wkt("county_geom")),
+    "counties_ref": _counties,
     "init_time_list": lambda i: i.forecasts.where(in_init_times(CFG))
     .groupBy("init_time")
     .agg(F.count(F.lit(1)).alias("forecast_rows")),

@@ -105,3 +105,25 @@ def to_wkt(geom: str) -> Column:
         concat('MULTIPOLYGON (', array_join(transform({geom}, ring -> concat('((', array_join(
             transform(concat(ring, slice(ring, 1, 1)),
                       p -> concat_ws(' ', cast(p.lon as string), cast(p.lat as string))), ', '), '))')), ', '), ')')""")
+
+
+def from_wkt(text: str) -> Column:
+    """The rings of a POLYGON or MULTIPOLYGON in well-known text; null for null, no rings for an empty one.
+
+    Rings count by the even-odd rule, so holes and parts need not be told apart. A closing point that
+    repeats the first is left out. Other shapes, and rings wider than 180 degrees, which would have to
+    cross the antimeridian, fail.
+    """
+    return F.expr(f"""
+        case when {text} is null then null
+             when not {text} rlike '^(?i)\\\\s*(MULTI)?POLYGON\\\\b' then raise_error(concat('not a polygon: ', left({text}, 60)))
+             else transform(
+                 transform(regexp_extract_all({text}, '\\\\(([^()]+)\\\\)', 1), ring -> transform(
+                     split(trim(ring), '\\\\s*,\\\\s*'),
+                     p -> named_struct('lon', cast(split(trim(p), '\\\\s+')[0] as double), 'lat', cast(split(trim(p), '\\\\s+')[1] as double)))),
+                 ring -> case
+                     when array_max(transform(ring, p -> p.lon)) - array_min(transform(ring, p -> p.lon)) > 180
+                     then raise_error('an outline crosses the antimeridian: split it there')
+                     when size(ring) > 1 and ring[0] = element_at(ring, -1) then slice(ring, 1, size(ring) - 1)
+                     else ring end)
+        end""")

@@ -120,13 +120,18 @@ def evaluation_steps(cfg: Config, run_id: str) -> list[Step]:
 
 
 def serving_steps() -> list[Step]:
+    """What dashboards read: stored, so that it outlives the session that made it."""
+
     def over(source: str, view):
         return lambda ws: view(ws.get(source), ws.get("counties_ref"))
 
-    return [
-        Step("timeseries_view", "view", over("outage_vs_weather", S.timeseries_view)),
-        Step("correlation_view", "view", over("correlations", S.correlation_view)),
-        Step("risk_map_view", "view", over("daily_plan", S.risk_map_view)),
-        Step("preboard_view", "view", over("daily_plan", S.preboard_view)),
-        Step("events_view", "view", over("event_coverage", S.events_view)),
-    ]
+    views = {
+        "timeseries_view": over("outage_vs_weather", S.timeseries_view),
+        "correlation_view": over("correlations", S.correlation_view),
+        "risk_map_view": over("daily_plan", S.risk_map_view),
+        "preboard_view": over("daily_plan", S.preboard_view),
+        "events_view": over("event_coverage", S.events_view),
+        "kpi_overview": lambda ws: S.kpi_overview(ws.get("preboard_view"), ws.get("events_view")),
+        "correlation_heatmap": lambda ws: S.correlation_heatmap(ws.get("correlation_view"), ws.cfg.lead_hours),
+    }
+    return [Step(name, "table", build, shown=True) for name, build in views.items()]

@@ -27,6 +27,8 @@ class Step:
     drop: tuple[str, ...] = ()
     # Whether a plan exists before the run, i.e. without a trained model.
     plannable: bool = True
+    # Whether the session also gets a view of the stored table.
+    shown: bool = False
 
 
 @dataclass(frozen=True)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Config
+from ..functions.geometry import from_wkt
 
 
 def counties_ref(counties: DataFrame, states: DataFrame) -> DataFrame:
@@ -18,6 +19,11 @@ def counties_ref(counties: DataFrame, states: DataFrame) -> DataFrame:
     )
 
 
+def outlines_from_wkt(counties: DataFrame, column: str = "county_geom") -> DataFrame:
+    """Counties whose outlines come as well-known text, with ring arrays in place of the text."""
+    return counties.withColumn("county_geom", from_wkt(column))
+
+
 def in_counties(column: str, cfg: Config) -> Column:
     """Membership in the configured counties. As text: thousands of codes parse at once."""
     codes = ", ".join("'" + code.replace("'", "\\'") + "'" for code in cfg.county_fips)

@@ -64,6 +64,10 @@ def test_full_run_then_resume(spark, inputs):
     got = run_phases(spark, CFG, root, forecasts)
     assert {r.status for r in got} == {"OK"}, [r for r in got if r.status != "OK"]
     assert spark.table("preboard_view").count() == 20
+    other = spark.newSession()
+    assert other.read.parquet(f"{root}/preboard_view").count() == 20
+    assert other.read.parquet(f"{root}/kpi_overview").count() == 1
+    assert other.read.parquet(f"{root}/correlation_heatmap").count() == 12
     for name in ("evaluation_regressor", "evaluation_logistic"):
         row = spark.read.parquet(f"{root}/{name}").first()
         assert row.model_type in name and row.run_id.startswith("ml-")

@@ -3,6 +3,8 @@
 import math
 import random
 
+import pytest
+
 from stormledger.operators import spatial as SP
 
 from .helpers import COUNTIES, box, config, county, rows
@@ -124,3 +126,17 @@ def test_no_target_county_gives_no_cells(spark):
     other = config(county_fips=("99999",))
     assert SP.area_bounds(counties, other) is None
     assert grid.where(SP.in_bounds(None)).count() == 0
+
+
+def test_outlines_as_text(spark):
+    from stormledger.functions.geometry import from_wkt
+
+    texts = ["POLYGON ((0 0, 2 0, 2 2, 0 0), (0.5 0.5,1 0.5 , 1 1, 0.5 0.5))", " multipolygon(((-1.5 3, 1e1 3, 4 5)), ((7 7, 8 7, 8 8, 7 7)))", None, "POLYGON EMPTY"]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(from_wkt("t")).collect()]
+    as_points = [None if g is None else [[(p.lon, p.lat) for p in ring] for ring in g] for g in got]
+    assert as_points == [
+        [[(0, 0), (2, 0), (2, 2)], [(0.5, 0.5), (1, 0.5), (1, 1)]], [[(-1.5, 3), (10, 3), (4, 5)], [(7, 7), (8, 7), (8, 8)]], None, [],
+    ]
+    for bad in ("POINT (1 2)", "POLYGON ((-179 0, 179 0, 179 1, -179 0))", "POLYGON ((a b, 1 2, 3 4))"):
+        with pytest.raises(Exception, match="polygon|antimeridian|(?i:cast)"):
+            spark.createDataFrame([(bad,)], "t string").select(from_wkt("t")).collect()
