@@ -1,12 +1,14 @@
 """Hand cases of the joined analysis: scaffold, thresholds, plan, coverage, skill."""
 
 from datetime import timedelta
+from math import ceil
 
 import pytest
 from pyspark.sql import functions as F
 
 from stormledger.operators.blocks import outage_6h_qc, six_hour_grid
 from stormledger.operators.coverage import event_coverage, wx_lead_flags
+from stormledger.operators.evaluation import exact_median
 from stormledger.operators.master import outage_vs_weather
 from stormledger.operators.plan import daily_plan, six_hour_wind_hail_counts
 from stormledger.operators.serving import correlation_heatmap, kpi_overview, preboard_view
@@ -269,3 +271,19 @@ def test_training_rows(spark):
     first = got[0]
     assert (first.wind_precip_interaction, first.wind_squared, first.day_of_week, first.month) == (6.0, 4.0, 1, 3)
     assert len(first) == 20
+
+
+def test_quantiles_and_median_are_exact_beyond_ten_thousand_rows(spark):
+    many = spark.range(24_001).selectExpr("id", "abs(hash(id)) % 9973 / 7D AS v")
+    values = sorted(r.v for r in many.collect())
+    rows_of = many.selectExpr(
+        "'01001' AS county_fips", "timestamp_ntz'2024-03-10 06:00:00' AS hour_ts", "v AS ws10_max_mps",
+        "-v AS ws925_max_mps", "v AS shear_0_6km_max_mps", "v AS updraft700_pos_max_pas",
+    )
+    got = county_thresholds(rows_of, config()).first()
+    assert got.p90_ws10 == got.p90_shear == values[ceil(len(values) * 10 / 11) - 1]
+    assert got.p80_updraft == values[ceil(len(values) * 4 / 5) - 1]
+    assert got.p90_ws925 == -values[len(values) - ceil(len(values) * 10 / 11)]
+    assert exact_median(many, "v") == values[12_000]
+    assert exact_median(many.where("id < 20000"), "v") == sorted(r.v for r in many.where("id < 20000").collect())[9_999]
+    assert exact_median(many.selectExpr("5D AS v"), "v") == 5 and exact_median(many.limit(0), "v") is None
