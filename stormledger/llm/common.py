@@ -45,6 +45,31 @@ def mapped(df: DataFrame, task: Callable[[pa.RecordBatch], Iterator[dict] | dict
     return df.mapInArrow(run, schema)
 
 
+def packed(df: DataFrame, column: str) -> DataFrame:
+    """The same rows with a text column compressed (binary, null stays null), to be unpacked after a shuffle."""
+    import zlib
+
+    from pyspark.sql.types import BinaryType, StructField, StructType
+
+    at = df.columns.index(column)
+    schema = StructType([StructField(f.name, BinaryType() if k == at else f.dataType) for k, f in enumerate(df.schema)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(at).to_pylist()
+            small = pa.array([None if t is None else zlib.compress(t.encode(), 1) for t in texts], pa.binary())
+            columns = [small if k == at else c for k, c in enumerate(batch.columns)]
+            yield pa.RecordBatch.from_arrays(columns, names=df.columns)
+
+    return df.mapInArrow(run, schema)
+
+
+def unpacked(data: bytes | None) -> str | None:
+    import zlib
+
+    return None if data is None else zlib.decompress(data).decode()
+
+
 def pieces(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that a string column holds about `most` bytes per piece; one long text is a piece alone."""
     import numpy as np

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from stormledger.storage import stored
 
-from .common import mapped
+from .common import mapped, packed, unpacked
 
 # Letters that a sign may stand for.
 SIGNS = {
@@ -190,7 +190,7 @@ def lexicon(docs: DataFrame, labels: DataFrame, model: np.ndarray, cfg: Settings
         restorer, counts = Restorer(model, cfg), {}
         for batch in batches:
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for w in features(restorer.words(text)):
+                for w in features(restorer.words(unpacked(text))):
                     counts.setdefault(w, [0, 0])[toxic] += 1
                 if len(counts) > cfg.held:
                     yield rows(counts)
@@ -199,7 +199,9 @@ def lexicon(docs: DataFrame, labels: DataFrame, model: np.ndarray, cfg: Settings
 
     marked = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("label_id"))
     marked = marked.agg(F.max((F.col("toxic") > 0).cast("int")).alias("is_toxic"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("label_id"), "text").join(marked, "label_id").select("text", "is_toxic")
+    # Labels grow with the documents, so texts are brought to them by the same plan at every size.
+    texts = packed(docs.select(F.col("doc_id").cast("long").alias("label_id"), "text"), "text")
+    texts = texts.join(marked.hint("merge"), "label_id").select("text", "is_toxic")
     totals = marked.join(docs.select(F.col("doc_id").cast("long").alias("label_id")), "label_id").groupBy().agg(
         F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("is_toxic"), F.lit(0)).alias("t")
     ).first()
