@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from stormledger.storage import stored
 
 from . import bytehash as B
-from .common import mapped, pieces
+from .common import mapped, packed, pieces
 
 PIECE = 1 << 20
 CHUNK_ROWS = 1_000
@@ -155,7 +155,8 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sort a bucket and compare neighbours; unique cores go, unless they lie at the bucket's boundary.
 
     `alike`: rows with the same stretch; `leads`: the first of them; `alone`, `mixed`: the core occurs
-    once, or with several stretches, both as far as this bucket shows.
+    once, or with several stretches, both as far as this bucket shows. `edge` marks the leading rows of
+    the runs at the boundary, which stand for the rows like them.
     """
     held = list(batches)
     if not held:
@@ -170,6 +171,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     mixed = np.bincount(core[leads]) > 1
     edge = (core == 0) | (core == core[-1])
     keep = np.flatnonzero((n_core[core] > 1) | edge)
+    edge &= leads
     out = table.take(pa.array(order[keep])).combine_chunks()
     more = {"alike": n_stretch[stretch], "leads": leads, "alone": n_core[core] == 1, "mixed": mixed[core], "edge": edge}
     for name, values in more.items():
@@ -182,9 +184,10 @@ def sorted_anchors(rows: DataFrame, cfg: Settings) -> tuple[DataFrame, DataFrame
     made = _anchor_rows(rows, cfg)
     buckets = made.repartitionByRange("lead", "core", "stretch", "doc_id", "first")
     found = stored(buckets.mapInArrow(_compare, SORTED), "suffixes")
-    # Runs at boundaries, over all buckets they reach into: at most two cores for each bucket.
+    # Runs at boundaries, over all buckets they reach into: at most two cores for each bucket. Rows that
+    # are like another in their bucket are settled there.
     edges = found.where("edge")
-    across = edges.groupBy("lead", "core").agg(F.count(F.lit(1)).alias("n"), (F.min("stretch") != F.max("stretch")).alias("differ"))
+    across = edges.groupBy("lead", "core").agg(F.sum("alike").alias("n"), (F.min("stretch") != F.max("stretch")).alias("differ"))
     fixed = edges.drop("alone", "mixed").join(across, ["lead", "core"]).select(
         "doc_id", "tag", "core", "first", "last", "alike", "leads", (F.col("n") == 1).alias("alone"), F.col("differ").alias("mixed")
     )
@@ -193,31 +196,17 @@ def sorted_anchors(rows: DataFrame, cfg: Settings) -> tuple[DataFrame, DataFrame
     return sure, every.where("mixed and leads").select("doc_id", "tag", "core", "first", "last", "alike")
 
 
-def _packed(rows: DataFrame) -> DataFrame:
-    """Texts compressed before they are shuffled."""
-    import zlib
-
-    def task(batch: pa.RecordBatch) -> dict:
-        return {
-            "doc_id": batch.column(0),
-            "tag": batch.column(1),
-            "packed": [zlib.compress(t.encode(), 1) for t in batch.column(2).to_pylist()],
-        }
-
-    return mapped(rows, task, f"{ROW}, packed binary")
-
-
 def _stretches(rows: DataFrame, wanted: DataFrame, cfg: Settings) -> DataFrame:
     """The bytes of each wanted stretch."""
     import zlib
 
     places = wanted.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("core", "part", "first", "last", "alike")).alias("places"))
-    met = _packed(rows).join(places, ["doc_id", "tag"])
+    met = packed(rows, "text").join(places, ["doc_id", "tag"])
 
     def task(batch: pa.RecordBatch) -> Iterator[dict]:
         made: dict[str, list] = {n: [] for n in ("doc_id", "tag", "core", "part", "first", "alike", "data")}
-        for doc, tag, packed, found in zip(*(batch.column(n).to_pylist() for n in ("doc_id", "tag", "packed", "places"))):
-            data = zlib.decompress(packed)
+        for doc, tag, small, found in zip(*(batch.column(n).to_pylist() for n in ("doc_id", "tag", "text", "places"))):
+            data = zlib.decompress(small)
             made["doc_id"] += [doc] * len(found)
             made["tag"] += [tag] * len(found)
             for n in ("core", "part", "first", "alike"):
@@ -326,12 +315,12 @@ def without_repeats(docs: DataFrame, cfg: Settings = Settings()) -> DataFrame:
 
     rows = _rows_of(docs)
     gone = repeating(rows, cfg).groupBy("doc_id", "tag").agg(F.collect_list(F.struct("first", "last")).alias("places"))
-    met = _packed(rows).join(gone, ["doc_id", "tag"], "left")
+    met = packed(rows, "text").join(gone, ["doc_id", "tag"], "left")
 
     def task(batch: pa.RecordBatch) -> Iterator[dict]:
         made: dict[str, list] = {n: [] for n in ("doc_id", "n_bytes", "spans", "kept")}
-        for doc, packed, places in zip(*(batch.column(n).to_pylist() for n in ("doc_id", "packed", "places"))):
-            data = zlib.decompress(packed)
+        for doc, small, places in zip(*(batch.column(n).to_pylist() for n in ("doc_id", "text", "places"))):
+            data = zlib.decompress(small)
             spans: list[list[int]] = []
             for first, last in sorted((p["first"], p["last"] + cfg.window) for p in places or ()):
                 if spans and first <= spans[-1][1]:
