@@ -6,12 +6,15 @@ Documents with equal sets form a class at once. For the rest:
 1. Retained values are inverted into lists of classes. Two sets of the wanted similarity share a good
    part of their sketches, so they also meet in the lists of the rarest values of each; common values,
    from passages that many documents share, are left to them.
-2. Within each list a few pivots are paired with every member. The sketch of the union, which two
-   sketches give, estimates the similarity of a pair, and what is clearly below the bound goes.
-3. The remaining pairs are verified on full sets and joined to components.
+2. Of the full sets of these classes, the windows that any other has are counted. They bound the size of
+   every intersection, and thus the sizes that a partner can have; a class that can have none goes.
+3. Within each list a few pivots are paired with every member: the one that shares most, the smallest,
+   and others. The sketch of the union, which two sketches give, estimates the similarity of a pair;
+   what is clearly below the bound goes, the rest is verified on full sets and joined to components.
 4. Members of one list that are still in different components meet new pivots, as long as such pairs
-   outnumber the classes; then every such pair is examined. So a list is never expanded into all its
-   pairs where its members are known to belong together, and no pair of unlike components is skipped.
+   outnumber the classes by far; then every such pair of possible sizes is examined. So a list is never
+   expanded into all its pairs where its members are known to belong together or cannot be similar, and
+   no other pair is skipped.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ from stormledger.storage import stored
 from . import bytehash as B
 from .common import mapped, pieces
 
-PIECE = 2 << 20
+PIECE = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -41,8 +44,12 @@ class Settings:
     # Pairs whose estimate is below are not verified: over four standard deviations under the bound.
     least_percent: int = 50
     # Pivots for each list and turn, and turns before all remaining pairs are examined whatever their number.
-    pivots: int = 3
-    turns: int = 4
+    pivots: int = 4
+    turns: int = 2
+    # Remaining pairs per class that end the turns.
+    few: int = 4
+    # Sizes within this ratio fall into one bucket when pairs are sought by size.
+    bucket: float = 1.05
 
 
 def _sets(batch: pa.RecordBatch, words: int):
@@ -104,18 +111,18 @@ def full_sets(docs: DataFrame, cfg: Settings = Settings()) -> DataFrame:
 
 
 def indexed(reps: DataFrame, cfg: Settings) -> DataFrame:
-    """(value, rep, n): each class, of n windows, in the lists of its rarest values, as far as another class may be there too."""
+    """(value, rep, n, weight): each class, of n windows, in the lists of its rarest values, as far as another class may be there too."""
     rows = reps.select("rep", F.col("n_shingles").alias("total"), F.explode("sketch").alias("value"), F.size("sketch").alias("size"))
     shared = rows.groupBy("value").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     held = rows.join(shared, "value")
     order = Window.partitionBy("rep").orderBy("n", "value")
     per = held.withColumn("place", F.row_number().over(order)).withColumn(
         "alone", F.col("size") - F.count(F.lit(1)).over(Window.partitionBy("rep"))
-    )
+    ).withColumn("weight", F.sum("n").over(Window.partitionBy("rep")))
     # A partner shares at least `needed` of a sketch, hence one of the first size - needed + 1 values.
     needed = F.ceil(F.col("size") * cfg.least_percent / 100)
     chosen = per.where(F.col("alone") + F.col("place") <= F.col("size") - needed + 1)
-    return chosen.select("value", "rep", F.col("total").alias("n"))
+    return chosen.select("value", "rep", F.col("total").alias("n"), "weight")
 
 
 def _mixed(lists: DataFrame, labels: DataFrame) -> DataFrame:
@@ -125,38 +132,76 @@ def _mixed(lists: DataFrame, labels: DataFrame) -> DataFrame:
     return stored(now.join(several.select("value"), "value", "left_semi"), "mixed_lists")
 
 
-def _fit(n: str, m: str, cfg: Settings) -> Column:
-    """Sets of these sizes can be similar enough."""
-    return 100 * F.least(n, m) >= cfg.percent * F.greatest(n, m)
+def supported(lists: DataFrame, sources: DataFrame, cfg: Settings) -> DataFrame:
+    """The lists, with the greatest size `most` that a partner of each member may have.
+
+    With s windows that any other set has, a partner of m windows has a similarity of s / (n + m - s) at
+    most. Members whose partners would have to be too small for them are left out.
+    """
+    items = sources.select(F.col("id").alias("rep"), F.explode("items").alias("item"))
+    several = items.groupBy("item").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1")
+    shared = items.join(several, "item", "left_semi").groupBy("rep").agg(F.count(F.lit(1)).alias("s"))
+    most = F.floor((100 + cfg.percent) * F.col("s") / cfg.percent) - F.col("n")
+    bounded = lists.join(shared, "rep").withColumn("most", most.cast("long"))
+    return bounded.where(100 * F.col("most") >= cfg.percent * F.col("n")).drop("s")
 
 
-def _pivot_pairs(lists: DataFrame, first: int, cfg: Settings) -> DataFrame:
+def _pivot_pairs(lists: DataFrame, turn: int, cfg: Settings) -> DataFrame:
     """(a, b): every member of a list with its pivots of another component.
 
-    A pivot is the member that one of several orders puts first: the smallest for order 0, else the
-    smallest by a hash, so lists with common members tend to have common pivots.
+    A pivot is the member that one of several orders puts first: the one with the most common values and
+    the smallest in the first turn, else the smallest by a hash. Lists with common members tend to have
+    common pivots.
     """
-    orders = [F.col("rep") if k == 0 else F.xxhash64(F.lit(k), F.col("rep")) for k in range(first, first + cfg.pivots)]
-    member = ["rep", "component", "n"]
+    first = turn * cfg.pivots
+    orders = [F.xxhash64(F.lit(k), F.col("rep")) for k in range(first, first + cfg.pivots)]
+    if turn == 0:
+        orders[:2] = [-F.col("weight"), F.col("rep")]
+    member = ["rep", "component", "n", "most"]
     pivots = lists.groupBy("value").agg(*[F.min(F.struct(o.alias("o"), *member)).alias(f"p{k}") for k, o in enumerate(orders)])
     each = F.array_distinct(F.array(*[F.struct(*[F.col(f"p{k}.{m}") for m in member]) for k in range(len(orders))]))
     met = lists.join(pivots.select("value", F.explode(each).alias("p")), "value")
-    met = met.where((F.col("component") != F.col("p.component")) & _fit("n", "p.n", cfg))
+    fit = (F.col("n") <= F.col("p.most")) & (F.col("p.n") <= F.col("most"))
+    met = met.where((F.col("component") != F.col("p.component")) & fit)
     return met.select(F.least("rep", "p.rep").alias("a"), F.greatest("rep", "p.rep").alias("b")).distinct()
 
 
+def _sides(lists: DataFrame, cfg: Settings) -> tuple[DataFrame, DataFrame]:
+    """Members in the bucket of their size, and in those of the sizes that a partner no larger than they may have."""
+
+    def bucket(size: Column) -> Column:
+        return F.floor(F.log(size.cast("double")) / F.log(F.lit(cfg.bucket))).cast("int")
+
+    least = F.greatest(F.ceil(F.col("n") * cfg.percent / 100), F.lit(1))
+    sought = lists.withColumn("bucket", F.explode(F.sequence(bucket(least), bucket(F.least("n", "most")))))
+    return lists.withColumn("bucket", bucket(F.col("n"))), sought
+
+
 def _cross_pairs(lists: DataFrame, cfg: Settings) -> DataFrame:
-    """(a, b): members of one list that are in different components."""
-    other = lists.select("value", F.col("rep").alias("b"), F.col("component").alias("other"), F.col("n").alias("m"))
-    met = lists.join(other, "value").where((F.col("rep") < F.col("b")) & (F.col("component") != F.col("other")) & _fit("n", "m", cfg))
-    return met.select(F.col("rep").alias("a"), "b").distinct()
+    """(a, b): members of one list, in different components, whose sizes allow a link."""
+    values = lists.groupBy("rep").agg(F.collect_set("value").alias("values"))
+    own, sought = _sides(lists.join(values, "rep"), cfg)
+    other = own.select(
+        "value", "bucket", F.col("rep").alias("b"), F.col("component").alias("other"), F.col("n").alias("m"),
+        F.col("most").alias("most_b"), F.col("values").alias("values_b"),
+    )
+    fit = (F.col("n") <= F.col("most_b")) & (F.col("m") <= F.col("most")) & (F.col("component") != F.col("other"))
+    once = (F.col("m") < F.col("n")) | ((F.col("m") == F.col("n")) & (F.col("b") < F.col("rep")))
+    # Of the lists that have both, the one with the smallest value makes the pair.
+    here = F.array_min(F.array_intersect("values", "values_b")) == F.col("value")
+    met = sought.join(other, ["value", "bucket"]).where(once & fit & here)
+    return met.select(F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b")).distinct()
 
 
-def _cross_count(lists: DataFrame) -> int:
-    """How many members of one list meet in different components, from counts alone."""
-    per = lists.groupBy("value", "component").agg(F.count(F.lit(1)).alias("n"))
-    each = per.groupBy("value").agg(F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("own"))
-    return int(each.agg(F.coalesce(F.sum((F.col("all") * F.col("all") - F.col("own")) / 2), F.lit(0))).first()[0])
+def _cross_count(lists: DataFrame, cfg: Settings) -> int:
+    """How many pairs `_cross_pairs` meets at most, from counts alone."""
+    own, sought = _sides(lists, cfg)
+    total = []
+    for key in (["value", "bucket"], ["value", "bucket", "component"]):
+        x = own.groupBy(*key).agg(F.count(F.lit(1)).alias("x"))
+        y = sought.groupBy(*key).agg(F.count(F.lit(1)).alias("y"))
+        total.append(x.join(y, key).agg(F.coalesce(F.sum(F.col("x") * F.col("y")), F.lit(0))).first()[0])
+    return total[0] - total[1]
 
 
 def union_estimate(x: Column, y: Column, k: int) -> Column:
@@ -228,14 +273,15 @@ def near_duplicates(docs: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     texts = mine.join(nodes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
     sources = stored(full_sets(texts.select(F.col("doc_id").alias("id"), "text"), cfg), "sets")
 
-    labels, most, done = components(edges, nodes), reps.count(), False
+    lists = stored(supported(lists, sources, cfg), "supported_lists")
+    labels, few, done = components(edges, nodes), cfg.few * reps.count(), False
     for turn in range(cfg.turns + 1):
         mixed = _mixed(lists, labels)
-        crossing = _cross_count(mixed)
-        if done or crossing == 0:
+        crossing = 0 if done else _cross_count(mixed, cfg)
+        if crossing == 0:
             break
-        done = turn == cfg.turns or crossing <= most
-        pairs = _cross_pairs(mixed, cfg) if done else _pivot_pairs(mixed, turn * cfg.pivots, cfg)
+        done = turn == cfg.turns or (turn > 0 and crossing <= few)
+        pairs = _cross_pairs(mixed, cfg) if done else _pivot_pairs(mixed, turn, cfg)
         edges = stored(edges.union(verified(stored(pairs, "pairs"), reps, sources, cfg)).distinct(), "edges")
         labels = components(edges, nodes)
 
@@ -253,4 +299,4 @@ def near_duplicates(docs: DataFrame, cfg: Settings = Settings()) -> DataFrame:
 def deduplicated(docs: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     """The documents of each group's smallest doc_id, with all their columns; texts without words stay."""
     gone = near_duplicates(docs, cfg).where("not kept").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("gone_id"), "left_anti")
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["gone_id"], "left_anti")
