@@ -51,7 +51,8 @@ def packed(df: DataFrame, column: str) -> DataFrame:
 
     from pyspark.sql.types import BinaryType, StructField, StructType
 
-    at = df.columns.index(column)
+    names = df.columns
+    at = names.index(column)
     schema = StructType([StructField(f.name, BinaryType() if k == at else f.dataType) for k, f in enumerate(df.schema)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -59,7 +60,7 @@ def packed(df: DataFrame, column: str) -> DataFrame:
             texts = batch.column(at).to_pylist()
             small = pa.array([None if t is None else zlib.compress(t.encode(), 1) for t in texts], pa.binary())
             columns = [small if k == at else c for k, c in enumerate(batch.columns)]
-            yield pa.RecordBatch.from_arrays(columns, names=df.columns)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return df.mapInArrow(run, schema)
 
