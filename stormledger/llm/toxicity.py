@@ -2,15 +2,18 @@
 
 Writers of abuse hide words behind digits and signs, spread them over spaces and stretch letters. Each
 suspicious stretch of a text is a noisy message: a lattice offers, for every sign, the letters it may
-stand for, and for a repeated letter one, two or all of its repeats. Viterbi decoding picks the path
-that is likeliest under a character model of the corpus and a channel that charges for every disguise.
-The restored text is then scored by words learned from labels.
+stand for, for a repeated letter one, two or all of its repeats, and for a gap between single letters
+nothing or the end of a word. Viterbi decoding picks the path that is likeliest under a character model
+of the corpus and a channel that charges for every disguise. The restored text is then scored by words
+learned from labels. Words broken into parts that are plain letters, too, are found by following the
+parts through the beginnings of the learned words.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -33,15 +36,26 @@ CODE = {c: i for i, c in enumerate(ALPHABET)}
 OTHER = len(ALPHABET)  # letters outside a-z
 
 WORD = re.compile(r"[^\W\d_]+")
-# Signs that only surround a word; the others may stand for its first or last letter.
+# Signs that may surround a word, and those of them that never stand for its first or last letter.
 AROUND = ".,;:?\"'`()[]{}<>#%&^~=/\\_-!*|+…“”„«»¡¿"
+OUTSIDE = "".join(c for c in AROUND if c not in SIGNS)
 TRIPLES = [c * 3 for c in ALPHABET[1:]]
 STRETCHED = re.compile(r"[^\W\d_]*?([^\W\d_])\1\1[^\W\d_]*")
-# Three or more single letters or signs with one blank, dot, hyphen or underscore between each.
-SPACED = re.compile(r"(?<!\S)[^\W_](?:[ ._-][\w@$!|+(*]){2,40}(?![\w@$!|+(*])")
+# Three or more single letters or signs with up to three blanks, dots, hyphens or underscores between each.
+# This and PART read texts whose underscores were made blanks.
+SPACED = re.compile(r"(?<![^\s\"'(\[{])[\w@$!|+(*](?:[\s.-]{1,3}[\w@$!|+(*]){2,}(?![\w@$!|+(*])")
+GAP, WIDE = re.compile(r"[\s.-]+"), re.compile(r"[\s.-]{2,3}")
+# One word written with marks between its parts, and what parts of words may stand between.
+BROKEN = re.compile(r"[\w@$!|+(*]+(?:[._\-~*'’/·][\w@$!|+(*]+)+")
+PART = re.compile(r"[\w@$!|+(*][\w@$!|+(*'’]*")
+# Single letters that are words of their own.
+LONE = frozenset("aeiouy")
+# A letter written more than three times is written three times.
+LONG_REPEAT = re.compile(r"(.)\1{3,}")
 # Lengths of word beginnings that are features of their own.
 STEMS = (4, 5, 6)
-# Disguised words are no longer than this; longer runs of letters and digits are codes and addresses.
+# Disguised words, with repeats folded, are no longer than this; longer runs of letters and digits are
+# codes and addresses. Longer rows of single letters are read in overlapping stretches of this length.
 LONGEST = 40
 
 
@@ -97,12 +111,16 @@ class Restorer:
     def __init__(self, model: np.ndarray, cfg: Settings):
         self.model, self.cfg = model, cfg
         self.decode = lru_cache(50_000)(self._decode)
+        self.token = lru_cache(100_000)(self._token)
 
     def _steps(self, token: str) -> list[list[tuple[str, float]]]:
         """For each run of one sign: the spellings it may stand for, with their costs."""
         steps = []
         for run in re.finditer(r"(.)\1*", token):
             sign, n = run.group(1), len(run.group())
+            if sign == " ":
+                steps.append([("", 0.0), ("_", 0.0)])
+                continue
             letters = SIGNS.get(sign, sign if sign.isalpha() else "")
             cost = 0.0 if sign.isalpha() else self.cfg.sign_cost
             choices = [
@@ -127,27 +145,75 @@ class Restorer:
                         to = code.get(c, OTHER)
                         total += model[at, to]
                         at = to
-                    held = after.get(letters[-1])
+                    end = letters[-1] if letters else last
+                    held = after.get(end)
                     if held is None or total > held[0]:
-                        after[letters[-1]] = (total, spelt + letters)
+                        after[end] = (total, spelt + letters)
             best = after
         end = [(score + model[code.get(last, OTHER), 0], spelt) for last, (score, spelt) in best.items()]
         return max(end, key=lambda x: (x[0], x[1]))[1] if end else ""
 
-    def words(self, text: str | None) -> set[str]:
-        """The distinct lower-case words of a text, with restored ones added."""
+    def readings(self, text: str | None) -> tuple[set[str], dict[str, set[str]]]:
+        """The distinct lower-case words of a text with restored ones, and what each restored one is made of.
+
+        The parts of a restored word are the plain words that are read in its place otherwise. Signs at
+        the ends of a word are read as letters and as what only surrounds it, marks within it as nothing.
+        """
         if not text:
-            return set()
+            return set(), {}
         low = text.lower()
-        found = set(WORD.findall(low))
-        disguised = {t for raw in set(low.split()) if not (t := raw.strip(AROUND)).isalpha() and 1 < len(t) <= LONGEST}
-        disguised = {t for t in disguised if not SIGNS.keys().isdisjoint(t) and any(map(str.isalpha, t))}
-        if any(t in low for t in TRIPLES):
-            disguised.update(m.group() for m in STRETCHED.finditer(low) if len(m.group()) <= LONGEST)
-        disguised.update(re.sub(r"[ ._-]", "", m.group()) for m in SPACED.finditer(low))
-        found.update(map(self.decode, disguised))
-        found.discard("")
-        return found
+        found, parts = set(WORD.findall(low)), {}
+
+        def add(token: str, plain: str) -> None:
+            word = self.decode(token)
+            if word and word not in found:
+                parts.setdefault(word, set()).update(WORD.findall(plain))
+
+        for raw in set(low.split()):
+            t = raw.strip(OUTSIDE)
+            if not t.isalpha():
+                for word, plain in self.token(t):
+                    if word not in found:
+                        parts.setdefault(word, set()).update(plain)
+        if not low.isascii() or any(t in low for t in TRIPLES):
+            for m in STRETCHED.finditer(low):
+                token = LONG_REPEAT.sub(r"\1\1\1", m.group())
+                if len(token) <= LONGEST:
+                    add(token, token)
+        for m in SPACED.finditer(low.replace("_", " ")):
+            if any(map(str.isalpha, m.group())):
+                self._spaced(m.group(), add, parts)
+        found.update(parts)
+        return found, parts
+
+    def _token(self, t: str) -> tuple[tuple[str, tuple[str, ...]], ...]:
+        """Restored words of a token with signs or marks, each with the plain words read otherwise."""
+        t = LONG_REPEAT.sub(r"\1\1\1", t)
+        if not 1 < len(t) <= LONGEST or not any(map(str.isalpha, t)):
+            return ()
+        tokens = {t} if BROKEN.fullmatch(t) else set()
+        if not SIGNS.keys().isdisjoint(t):
+            for left in {t, t.lstrip(AROUND)}:
+                tokens |= {x for x in (left, left.rstrip(AROUND)) if len(x) > 1 and not x.isalpha() and not SIGNS.keys().isdisjoint(x)}
+        plain = tuple(WORD.findall(t))
+        return tuple((word, plain) for word in {self.decode(x) for x in tokens} if word)
+
+    def _spaced(self, run: str, add: Callable[[str, str], None], parts: dict[str, set[str]]) -> None:
+        """Single letters in a row: as one word, as words at the wide gaps, and as words where the model ends them."""
+        for stretch in {run, *WIDE.split(run)}:
+            letters = GAP.split(stretch)
+            for k in range(0, max(1, len(letters) - LONGEST // 2), LONGEST // 2):
+                some = letters[k : k + LONGEST]
+                if len(some) > 1:
+                    words = self.decode(" ".join(some)).split("_")
+                    for word in words:
+                        if len(word) > 1:
+                            parts.setdefault(word, set())
+                    add("".join(some), " ".join(words))
+
+    def words(self, text: str | None) -> set[str]:
+        """The distinct lower-case words of a text, with restored ones added."""
+        return self.readings(text)[0]
 
 
 def features(words: set[str]) -> set[str]:
@@ -156,25 +222,103 @@ def features(words: set[str]) -> set[str]:
 
 
 class Evidence:
-    """Summed log odds of the telling words of a text; a word counts once, by its most telling form."""
+    """Summed log odds of the telling words of a text; a word counts once, by its most telling form.
 
-    def __init__(self, odds: dict[str, float]):
-        self.odds = odds
+    `ordinary` are plain words that telling words are made of: parts that are all such are taken as they stand.
+    """
+
+    def __init__(self, odds: dict[str, float], ordinary: set[str] = frozenset()):
+        self.odds, self.ordinary = odds, ordinary | LONE
         self.whole = {f for f in odds if not f.endswith("*")}
         self.stems = [(n, {f[:-1] for f in odds if f.endswith("*") and len(f) == n + 1}) for n in STEMS]
+        # Beginnings of telling words, the words themselves among them.
+        self.begun = {f.rstrip("*")[:n] for f in odds for n in range(1, len(f) + 1)}
+        self.through, self.telling = lru_cache(100_000)(self._through), lru_cache(50_000)(self._telling)
+        self.first, self.goes_on = lru_cache(100_000)(self._first), lru_cache(100_000)(self._goes_on)
 
-    def hits(self, words: set[str]) -> dict[str, float]:
+    def hits(self, words: set[str], parts: dict[str, set[str]] | None = None) -> dict[str, float]:
         found = {w: self.odds[w] for w in words & self.whole}
         for n, stems in self.stems:
             if stems and not stems.isdisjoint(w[:n] for w in words):
                 for w in words:
                     if len(w) > n and w[:n] in stems:
                         found[w] = max(found.get(w, 0.0), self.odds[w[:n] + "*"])
+        # The words that a restored one stands for, or that one, whichever tell more.
+        for w in sorted(found.keys() & (parts or {}).keys()):
+            others = (parts[w] & found.keys()) - {w}
+            if others and w in found:
+                for gone in others if found[w] > sum(found[o] for o in others) else [w]:
+                    del found[gone]
         return found
 
+    def _telling(self, word: str) -> float:
+        """The odds of a word by itself or by its beginnings, 0 if it tells nothing."""
+        own = [self.odds.get(word, 0.0)]
+        own += [self.odds[word[:n] + "*"] for n, stems in self.stems if len(word) > n and word[:n] in stems]
+        return max(own)
+
+    def joined(self, text: str) -> dict[str, float]:
+        """Telling words that a text breaks into parts, with signs for letters or letters repeated in them.
+
+        From every part on, all spellings that begin a telling word are followed over the next parts for
+        as long as there are any, so a word may be broken anywhere and any number of times.
+        """
+        found: dict[str, float] = {}
+        tokens = PART.findall(text.lower().replace("_", " "))
+        begun, through, first, goes_on, plain_ones = self.begun, self.through, self.first, self.goes_on, self.ordinary
+        for i, token in enumerate(tokens[:-1]):
+            if not (states := first(token)) or not goes_on(token, tokens[i + 1][0]):
+                continue
+            plain, single, mine = token in plain_ones, len(token) == 1, {}
+            for k in range(i + 1, len(tokens)):
+                token = tokens[k]
+                after = {x for s in states for x in through(s, token)}
+                if not after:
+                    break
+                plain &= token in plain_ones
+                single &= len(token) == 1
+                if k > i + 1 if single else not plain:
+                    mine.update((word, odds) for word in after if (odds := self.telling(word)))
+                states = after & begun
+            if mine:
+                word = max(mine, key=lambda w: (mine[w], w))
+                found[word] = mine[word]
+        return found
 
-def lexicon(docs: DataFrame, labels: DataFrame, model: np.ndarray, cfg: Settings = Settings()) -> tuple[float, dict[str, float]]:
-    """Log odds of a toxic label to begin with, and those that each telling word adds.
+    def _first(self, token: str) -> frozenset[str]:
+        """Beginnings of telling words that a part may stand for; none if it tells by itself."""
+        head = token[:4]
+        # A part of plain letters without repeats begins with its own first letters only.
+        if head not in self.begun and len(set(head)) == len(head) and token.isalpha():
+            return frozenset()
+        states = self._through("", token) & self.begun
+        return frozenset() if any(map(self.telling, states)) else states
+
+    def _goes_on(self, token: str, sign: str) -> bool:
+        return any(self.through(s, sign) for s in self.first(token))
+
+    def _through(self, state: str, token: str) -> frozenset[str]:
+        """Spellings of `state` and a part after it that begin a telling word, or go on after a telling beginning."""
+        states = {state}
+        for c in token:
+            after = set()
+            for s in states:
+                for letter in SIGNS.get(c, c if c.isalpha() else ""):
+                    longer = s + letter
+                    if longer in self.begun or (len(s) >= STEMS[0] and any(len(s) >= n and s[:n] in stems for n, stems in self.stems)):
+                        after.add(longer)
+                    if s.endswith(letter):
+                        after.add(s)
+                if c in AROUND:
+                    after.add(s)
+            states = after
+            if not states:
+                break
+        return frozenset(states)
+
+
+def lexicon(docs: DataFrame, labels: DataFrame, model: np.ndarray, cfg: Settings = Settings()) -> tuple[float, dict[str, float], set[str]]:
+    """Log odds of a toxic label to begin with, those that each telling word adds, and ordinary words within those.
 
     A word's odds come from the numbers of labelled toxic and other documents that have it, once each,
     in restored form. Kept are words more frequent in toxic documents than chance allows, by the
@@ -207,7 +351,7 @@ def lexicon(docs: DataFrame, labels: DataFrame, model: np.ndarray, cfg: Settings
     ).first()
     n_toxic, n_clean = totals["t"], totals["n"] - totals["t"]
     if not n_toxic or not n_clean:
-        return (math.inf if n_toxic else -math.inf), {}
+        return (math.inf if n_toxic else -math.inf), {}, set()
     s, share = cfg.smoothing, n_toxic / (n_toxic + n_clean)
     counted = texts.mapInArrow(task, "word string, clean long, toxic long").groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     tried = stored(counted.where(F.col("toxic") >= cfg.least_documents), "words")
@@ -219,7 +363,12 @@ def lexicon(docs: DataFrame, labels: DataFrame, model: np.ndarray, cfg: Settings
         .where((F.col("odds") > 0) & (F.col("ratio") > math.log(max(1, tried.count()) / cfg.error)))
         .orderBy(F.desc("ratio"), "word").limit(cfg.most_words).select("word", "odds")
     )
-    return math.log(n_toxic / n_clean), {r["word"]: r["odds"] for r in telling.collect()}
+    odds = {r["word"]: r["odds"] for r in telling.collect()}
+    # No more of them than telling words have stretches of letters.
+    within = {w[i:k] for w in (f.rstrip("*") for f in odds) for i in range(len(w)) for k in range(i + 2, len(w) + 1)}
+    stretches = docs.sparkSession.createDataFrame([(w,) for w in sorted(within)], "word string")
+    ordinary = {r["word"] for r in tried.join(stretches, "word", "left_semi").collect()}
+    return math.log(n_toxic / n_clean), odds, ordinary
 
 
 def scores(docs: DataFrame, labels: DataFrame, learn: Column | None = None, cfg: Settings = Settings()) -> DataFrame:
@@ -234,15 +383,18 @@ def scores(docs: DataFrame, labels: DataFrame, learn: Column | None = None, cfg:
     """
     chosen = docs if learn is None else docs.where(F.coalesce(learn, F.lit(False)))
     model = character_model(docs, cfg)
-    prior, odds = lexicon(chosen, labels, model, cfg)
+    prior, odds, ordinary = lexicon(chosen, labels, model, cfg)
 
     def task(batches):
         restorer = Restorer(model, cfg)
-        evidence = Evidence(odds)
+        evidence = Evidence(odds, ordinary)
         for batch in batches:
             score, restored = [], []
             for text in batch.column(1).to_pylist():
-                hits = evidence.hits(restorer.words(text))
+                hits = evidence.hits(*restorer.readings(text))
+                for w, o in evidence.joined(text or "").items():
+                    if not any(h.startswith(w) or w.startswith(h) for h in hits):
+                        hits[w] = o
                 total = prior + sum(hits.values())
                 score.append(1 / (1 + math.exp(-total)) if total > -700 else 0.0)
                 plain = set(WORD.findall(text.lower())) if hits else ()

@@ -87,3 +87,31 @@ def test_awkward_rows_and_empty_tables(spark):
     assert all(r["score"] == 0 for r in X.scores(docs, labels.limit(0)).collect())
     assert {r["score"] for r in X.scores(docs, labels.where("toxic = 0 and doc_id = 6")).collect()} == {0.0}
     assert X.scores(none(spark), labels).count() == 0
+
+
+@pytest.mark.parametrize("disguised", ["zorgl3", "+oxnar", "!diotar", "|diotar", "(lownar", "oxnat+", "gron-tas", "gron.tas", "g  r  o  n  t  a  s", "6 r o n t a s", "zo" + "o" * 60 + "rgle"])
+def test_edge_signs_gaps_and_long_repeats(disguised):
+    """A model of words that begin or end with what a sign stands for."""
+    table = np.ones((X.OTHER + 1, X.OTHER + 1))
+    known = ["toxnar", "idiotar", "clownar", "oxnatt", "grontas", "zorgle"]
+    for w in known:
+        for a, b in zip("_" + w, w + "_"):
+            table[X.CODE[a], X.CODE[b]] += 50
+    table = np.log(table / table.sum(axis=1, keepdims=True))
+    assert set(known) & X.Restorer(table, X.Settings()).words(f"and then {disguised} they said")
+
+
+@pytest.mark.parametrize("broken", ["gron tas", "gro nt as", "gr0n tas!", "you gron-tas", "y o u g r o n t a s", "y o u   g r o n t a s", "g r o n t a s", "wex mudly"])
+def test_words_broken_anywhere_are_found(broken):
+    restorer = X.Restorer(np.log(np.full((X.OTHER + 1, X.OTHER + 1), 1 / 28)), X.Settings())
+    evidence = X.Evidence({"grontas": 2.0, "gront*": 1.0, "wexmud*": 1.0, "asnow": 3.0}, {"as", "now"})
+    text = f"as now {broken} then"
+    hits = evidence.joined(text) | evidence.hits(*restorer.readings(text))
+    assert hits and not any("asnow" == h for h in hits)
+    assert evidence.joined("grontas is here, as now, grontas tas") == {}
+
+
+def test_two_readings_of_one_word_count_once():
+    evidence = X.Evidence({"stupid": 2.0, "stupi*": 1.5})
+    assert evidence.hits({"stupid", "stupidi"}, {"stupidi": {"stupid"}}) == {"stupid": 2.0}
+    assert X.Evidence({"idiot": 2.0, "dio": 1.0}).hits({"idiot", "dio"}, {"idiot": {"dio"}}) == {"idiot": 2.0}
