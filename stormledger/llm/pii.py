@@ -2,9 +2,9 @@
 
 Four shapes (email, ip, card, phone) are found everywhere and are the seeds. The words around a seed form
 lexical patterns: two before, two after, or one on either side. Patterns and the instances they surround
-are a graph. In each round a pattern's score is how reliably its instances are known identifiers, and an
-instance's score is the chance that at least one of its patterns is right; both are joined and
-aggregated by Spark. Unseen instances of high-confidence patterns are reported as spans of kind `other`.
+are a graph. In each round a pattern's score is how reliably its instances are known identifiers or were
+accepted so far, and an instance's score is the chance that at least one of its patterns is right; both
+are joined and aggregated by Spark, until no pattern is added and scores hold. Unseen instances of high-confidence patterns are reported as spans of kind `other`.
 An instance is a stretch without blanks that holds a digit: plain words are never reported.
 """
 
@@ -35,10 +35,11 @@ TOKEN = re.compile(r"[^\W_]+|[^\w\s]")
 
 @dataclass(frozen=True)
 class Settings:
-    rounds: int = 3
-    # A pattern is trusted from this score on, and only with this many distinct known instances.
+    # A pattern is trusted from this score on, and only with this many distinct instances known or accepted.
     least_score: float = 0.8
     least_known: int = 3
+    # Rounds end when no pattern is added and no score changes by more.
+    tolerance: float = 1e-6
     # Characters of context looked at on either side of an instance.
     reach: int = 80
     # Shorter instances, such as single numbers, are not identifiers.
@@ -123,22 +124,30 @@ def trusted_patterns(links: DataFrame, cfg: Settings) -> DataFrame:
     """(pattern, score) of the trusted ones, from the graph's links (pattern, instance, known).
 
     Known instances score 1 for good. A pattern's score is the mean of its instances' scores, shrunk by
-    one unknown instance; an instance's the chance that not all of its trusted patterns are wrong.
+    one unknown instance; an instance's the chance that not all of its trusted patterns are wrong, and
+    an instance of a trusted pattern is accepted. An accepted instance supports its other patterns in
+    the next round as a known one does, so scores only grow and the rounds end.
     """
-    known = links.where("known").groupBy("pattern").agg(F.count(F.lit(1)).alias("n_known"))
-    # Patterns that never surround a known instance in the required number can't become trusted.
-    links = stored(links.join(known.where(F.col("n_known") >= cfg.least_known).select("pattern"), "pattern", "left_semi"), "links")
-    worth = links.withColumn("worth", F.col("known").cast("double"))
-    for turn in range(cfg.rounds):
-        score = worth.groupBy("pattern").agg((F.sum("worth") / (F.count(F.lit(1)) + 1)).alias("score"))
-        score = stored(score.where(F.col("score") >= cfg.least_score), "patterns")
-        if turn + 1 < cfg.rounds:
-            doubt = F.sum(F.log(1 - F.col("score") + 1e-9))
-            found = links.join(score, "pattern").groupBy("instance").agg((1 - F.exp(doubt)).alias("found"))
-            worth = links.join(found, "instance", "left").withColumn(
-                "worth", F.when(F.col("known"), F.lit(1.0)).otherwise(F.coalesce("found", F.lit(0.0)))
-            )
-    return score
+    size = links.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
+    # No round can support a pattern of fewer instances.
+    links = stored(links.join(size.where(F.col("n") >= cfg.least_known).select("pattern"), "pattern", "left_semi"), "links")
+    worth, before = links.withColumn("worth", F.col("known").cast("double")), (0, 0.0)
+    while True:
+        score = worth.groupBy("pattern").agg(
+            (F.sum("worth") / (F.count(F.lit(1)) + 1)).alias("score"), F.count(F.when(F.col("worth") > 0, 1)).alias("support")
+        )
+        trusted = (F.col("score") >= cfg.least_score) & (F.col("support") >= cfg.least_known)
+        score = stored(score.where(trusted).select("pattern", "score"), "patterns")
+        now = tuple(score.agg(F.count(F.lit(1)), F.coalesce(F.sum("score"), F.lit(0.0))).first())
+        # Scores only grow, so no single one has changed by more than their sum.
+        if now[0] == before[0] and now[1] - before[1] <= cfg.tolerance:
+            return score
+        before = now
+        doubt = F.sum(F.log(1 - F.col("score") + 1e-9))
+        found = links.join(score, "pattern").groupBy("instance").agg((1 - F.exp(doubt)).alias("found"))
+        worth = links.join(found, "instance", "left").withColumn(
+            "worth", F.when(F.col("known"), F.lit(1.0)).otherwise(F.coalesce("found", F.lit(0.0)))
+        )
 
 
 def extract(docs: DataFrame, cfg: Settings = Settings()) -> DataFrame:

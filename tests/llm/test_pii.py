@@ -62,6 +62,15 @@ def test_a_pattern_that_surrounds_other_things_is_not_trusted(spark):
     assert {r["pattern"] for r in P.trusted_patterns(links, P.Settings()).collect()} == {"q"}
 
 
+def test_accepted_instances_support_further_patterns(spark):
+    """Second and third patterns surround no known instance at all."""
+    rows = [("p", f"known{i}", True) for i in range(60)] + [("p", f"new{i}", False) for i in range(12)]
+    rows += [("q", f"new{i}", False) for i in range(12)] + [("q", "fresh", False)]
+    rows += [("s", f"new{i}", False) for i in range(2)] + [("t", f"lone{i}", False) for i in range(9)]
+    links = spark.createDataFrame(rows, "pattern string, instance string, known boolean")
+    assert {r["pattern"] for r in P.trusted_patterns(links, P.Settings()).collect()} == {"p", "q"}
+
+
 def test_awkward_rows_and_empty_tables(spark):
     found = P.extract(awkward(spark)).collect()
     assert len(found) == 12 and all(r["base"] == [] and r["more"] == [] for r in found)
