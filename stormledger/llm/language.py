@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from stormledger.storage import stored
 
@@ -196,19 +197,49 @@ def identify(docs: DataFrame, learn: Column | None = None, cfg: Settings = Setti
     return mapped(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), predict, "doc_id long, lang_pred string, score double")
 
 
-def kept_languages(docs: DataFrame, learn: Column | None = None, least: float = 0.1, cfg: Settings = Settings()) -> DataFrame:
+def cutoffs(judged: DataFrame, quantile: float) -> DataFrame:
+    """(lang, cutoff): the score that all but a part `quantile` of a language's documents reach, from (lang, score) rows.
+
+    Scores are cut to four digits and counted, so a language has as many counts as there are such
+    scores, however many documents there are.
+    """
+    counts = judged.select("lang", (F.floor(F.col("score") * 10_000) / 10_000).alias("cut")).groupBy("lang", "cut").agg(F.count(F.lit(1)).alias("n"))
+    own = Window.partitionBy("lang")
+    upto = F.sum("n").over(own.orderBy("cut").rowsBetween(Window.unboundedPreceding, 0))
+    reached = counts.withColumn("upto", upto).withColumn("total", F.sum("n").over(own)).where(F.col("upto") > F.col("total") * quantile)
+    return reached.groupBy("lang").agg(F.min("cut").alias("cutoff"))
+
+
+def kept_languages(
+    docs: DataFrame, learn: Column | None = None, least: float = 0.1, cfg: Settings = Settings(), quantile: float = 0.005
+) -> DataFrame:
     """Documents in a recognisable language, with all their columns.
 
-    Rejected are texts without letters and texts whose score is below `least`: not written in any of
-    the learned languages. A document whose `lang` is null or mistaken stays.
+    Rejected are texts without letters and texts that score below `least` or below what all but a part
+    `quantile` of the learned documents of the predicted language reach: not written in any of the
+    learned languages. Only learned documents predicted as labelled count for that. A document whose
+    `lang` is null or mistaken stays. Texts are read for the profiles and for scoring; scored documents
+    are stored, as cutoffs are known after all scores.
     """
     chosen = docs if learn is None else docs.where(F.coalesce(learn, F.lit(False)))
     known = collected(profiles(chosen, cfg=cfg))
+    mark = "_" * (1 + max((len(c) for c in docs.columns), default=0))
+    names = [f"{mark}{x}" for x in ("learned", "lang", "score")]
+    labelled = F.lit(True) if learn is None else F.coalesce(learn, F.lit(False))
+    rows = docs.select("*", F.when(labelled, F.col("lang").cast("string")).alias(names[0]))
+    schema = StructType([*rows.schema, StructField(names[1], StringType()), StructField(names[2], DoubleType())])
 
-    def keep(batches):
+    def judge(batches):
         matcher = Matcher(known, cfg)
         for batch in batches:
             found = [f for piece in pieces(batch, "text", PIECE) for f in matcher.match(piece.column("text").to_pylist())]
-            yield batch.filter(pa.array([name != UNKNOWN and score >= least for name, score in found], type=pa.bool_()))
-
-    return docs.mapInArrow(keep, docs.schema)
+            made = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=[*batch.schema.names, *names[1:]])
+
+    judged = rows.mapInArrow(judge, schema).where((F.col(names[1]) != UNKNOWN) & (F.col(names[2]) >= least))
+    judged = stored(judged, "judged")
+    mine = judged.where(F.col(names[0]) == F.col(names[1])).select(F.col(names[1]).alias("lang"), F.col(names[2]).alias("score"))
+    found = {r["lang"]: r["cutoff"] for r in cutoffs(mine, quantile).collect()}  # one row per language
+    cut = docs.sparkSession.createDataFrame(sorted(found.items()), f"`{mark}key` string, `{mark}cutoff` double")
+    met = judged.join(cut, F.col(names[1]) == F.col(f"{mark}key"), "left")
+    return met.where(F.col(names[2]) >= F.coalesce(F.col(f"{mark}cutoff"), F.lit(least))).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -74,3 +74,17 @@ def test_awkward_rows_and_empty_tables(spark):
     assert L.kept_languages(none(spark)).count() == 0
     nothing_learned = L.identify(documents(spark, [(1, "some text", None, None)])).first()
     assert (nothing_learned["lang_pred"], nothing_learned["score"]) == ("und", 0.0)
+
+
+def test_unlearned_languages_of_the_same_script_are_rejected(spark):
+    rows, docs = corpus(spark)
+    rnd = random.Random(8)
+    other = [(1_000 + i, prose(rnd, 60, "abcdefghi"), None, "s") for i in range(20)]
+    junk = [(2_000 + i, prose(rnd, 60, "abcdefghijklm"), "xa", "s") for i in range(20)]
+    kept = {r["doc_id"] for r in L.kept_languages(docs.union(documents(spark, other + junk)), F.col("doc_id") < 1_000).collect()}
+    assert kept == {r[0] for r in rows}
+
+
+def test_cutoffs_leave_out_a_part_of_each_language(spark):
+    judged = spark.createDataFrame([("a", k / 1000) for k in range(1000)] + [("b", 0.5)], "lang string, score double")
+    assert {r["lang"]: r["cutoff"] for r in L.cutoffs(judged, 0.005).collect()} == {"a": 0.005, "b": 0.5}
