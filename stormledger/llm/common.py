@@ -22,6 +22,16 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), f"{BLANK_CLASS}+"), lambda w: w != "")
 
 
+def numbered(df: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
+    """The same rows with columns named c0, c1, ... and, by its own exact name, the column each name stands for.
+
+    Foreign columns may have any name, with dots, blanks or other case; none is looked up this way. Of
+    columns that share a name the first counts.
+    """
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    return plain, {c: F.col(f"c{i}") for i, c in reversed(list(enumerate(df.columns)))}
+
+
 def fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id's decimal digits modulo `folds`; null for a null id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % folds

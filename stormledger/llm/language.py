@@ -18,12 +18,12 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from stormledger.storage import stored
 
-from .common import mapped, pieces
+from .common import mapped, numbered, pieces
 
 UNKNOWN = "und"
 # Profiles travel with the tasks: `length` short rows per language, and no more languages than this.
 MOST_LANGUAGES = 2_000
-PIECE = 1 << 20
+PIECE = 1 << 18
 # Up to so many n-grams of an alphabet are counted in a table; beyond, by sorting.
 TABLE = 1 << 19
 
@@ -222,24 +222,24 @@ def kept_languages(
     are stored, as cutoffs are known after all scores.
     """
     chosen = docs if learn is None else docs.where(F.coalesce(learn, F.lit(False)))
-    known = collected(profiles(chosen, cfg=cfg))
-    mark = "_" * (1 + max((len(c) for c in docs.columns), default=0))
-    names = [f"{mark}{x}" for x in ("learned", "lang", "score")]
-    labelled = F.lit(True) if learn is None else F.coalesce(learn, F.lit(False))
-    rows = docs.select("*", F.when(labelled, F.col("lang").cast("string")).alias(names[0]))
-    schema = StructType([*rows.schema, StructField(names[1], StringType()), StructField(names[2], DoubleType())])
+    rows, col = numbered(docs.select("*", F.lit(True) if learn is None else F.coalesce(learn, F.lit(False))))
+    lang, text, last = col["lang"].cast("string"), col["text"].cast("string"), F.col(rows.columns[-1])
+    known = collected(profiles(chosen.select(F.col("lang"), F.col("text")), cfg=cfg))
+    rows = rows.withColumn("learned", F.when(last, lang)).withColumn("read", text).drop(rows.columns[-1])
+    kept_names = rows.columns[: len(docs.columns)]
+    made = StructType([*rows.select(*kept_names, "learned").schema, StructField("lang", StringType()), StructField("score", DoubleType())])
 
     def judge(batches):
         matcher = Matcher(known, cfg)
         for batch in batches:
-            found = [f for piece in pieces(batch, "text", PIECE) for f in matcher.match(piece.column("text").to_pylist())]
-            made = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=[*batch.schema.names, *names[1:]])
-
-    judged = rows.mapInArrow(judge, schema).where((F.col(names[1]) != UNKNOWN) & (F.col(names[2]) >= least))
-    judged = stored(judged, "judged")
-    mine = judged.where(F.col(names[0]) == F.col(names[1])).select(F.col(names[1]).alias("lang"), F.col(names[2]).alias("score"))
-    found = {r["lang"]: r["cutoff"] for r in cutoffs(mine, quantile).collect()}  # one row per language
-    cut = docs.sparkSession.createDataFrame(sorted(found.items()), f"`{mark}key` string, `{mark}cutoff` double")
-    met = judged.join(cut, F.col(names[1]) == F.col(f"{mark}key"), "left")
-    return met.where(F.col(names[2]) >= F.coalesce(F.col(f"{mark}cutoff"), F.lit(least))).select(*[F.col(f"`{c}`") for c in docs.columns])
+            # Pieces leave as they are made, so a task holds one batch of whole rows only.
+            for piece in pieces(batch, "read", PIECE):
+                found = matcher.match(piece.column("read").to_pylist())
+                judged = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
+                yield pa.RecordBatch.from_arrays([*piece.columns[:-1], *judged], names=made.names)
+
+    judged = stored(rows.mapInArrow(judge, made).where((F.col("lang") != UNKNOWN) & (F.col("score") >= least)), "judged")
+    found = {r["lang"]: r["cutoff"] for r in cutoffs(judged.where("learned = lang"), quantile).collect()}  # one row per language
+    # Tasks carry a number per language, so no text is shuffled for it.
+    cut = F.create_map(*[F.lit(x) for pair in sorted(found.items()) for x in pair])[F.col("lang")] if found else F.lit(None)
+    return judged.where(F.col("score") >= F.coalesce(cut, F.lit(least))).select(*kept_names).toDF(*docs.columns)

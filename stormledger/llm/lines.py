@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from stormledger.storage import stored
 
-from .common import BLANKS
+from .common import BLANKS, numbered
 
 
 @dataclass(frozen=True)
@@ -151,14 +151,11 @@ def deduplicated(docs: DataFrame, cfg: Settings = Settings(), counts: bool = Fal
     the lines removed. With `counts` there are also n_lines, of those with more than blanks, and n_removed.
     Without `emptied`, documents that lost all their lines are left out.
     """
-    gone = stored(repeated(_keyed(docs), cfg), "gone")
-    text = F.col("row.text").cast("string")
-    rows = docs.select(
-        F.struct(*docs.columns).alias("row"),
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key_id"),
-        F.xxhash64(F.col("text").cast("string")).alias("key_hash"),
-    )
-    met = rows.join(gone.toDF("key_id", "key_hash", "gone"), ["key_id", "key_hash"], "left")
+    plain, col = numbered(docs)
+    text, doc_id = col["text"].cast("string"), col["doc_id"].cast("long")
+    gone = stored(repeated(_keyed(plain.select(doc_id.alias("doc_id"), text.alias("text"))), cfg), "gone")
+    keyed = plain.select("*", F.coalesce(doc_id, F.lit(NO_ID)).alias("key_id"), F.xxhash64(text).alias("key_hash"))
+    met = keyed.join(gone.toDF("key_id", "key_hash", "gone"), ["key_id", "key_hash"], "left")
     lines = F.split(text, "\n")
     full = F.filter(lines, lambda line: F.btrim(line, F.lit(BLANKS)) != "")
     if not emptied:
@@ -167,10 +164,8 @@ def deduplicated(docs: DataFrame, cfg: Settings = Settings(), counts: bool = Fal
     kept = F.when(F.col("gone").isNull(), text).otherwise(
         F.transform(F.array(lines), lambda held: F.array_join(F.transform(stay, lambda i: held[i]), "\n"))[0]
     )
-    columns = [kept.alias("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns]
+    columns, names = [kept if c == "text" else F.col(f"c{i}") for i, c in enumerate(docs.columns)], list(docs.columns)
     if counts:
-        columns += [
-            F.coalesce(F.size(full), F.lit(0)).cast("long").alias("n_lines"),
-            F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
-        ]
-    return met.select(*columns)
+        columns += [F.coalesce(F.size(full), F.lit(0)).cast("long"), F.coalesce(F.size("gone"), F.lit(0)).cast("long")]
+        names += ["n_lines", "n_removed"]
+    return met.select(*columns).toDF(*names)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from stormledger.storage import stored
 
-from .common import words
+from .common import numbered, words
 
 MARGINS = ("source", "lang", "topic")
 
@@ -120,15 +120,15 @@ def sampled(docs: DataFrame, cfg: Settings = Settings()) -> DataFrame:
 
     The cell is found anew from each row, so no join by id is needed and repeated ids do no harm.
     """
-    rows = docs.select(F.struct(*docs.columns).alias("row"))
-    cell = measured(docs)
-    cells = stored(cell.groupBy(*MARGINS).agg(F.sum("n_words").alias("n_words")), "cells")
+    rows, col = numbered(docs)
+    own = measured(rows.select(*[col[c].alias(c) for c in ("doc_id", "source", "lang", "text")]))
+    cells = stored(own.groupBy(*MARGINS).agg(F.sum("n_words").alias("n_words")), "cells")
     chances = stored(probabilities(raked(cells, cfg), cfg).select(*[F.col(m).alias(f"cell_{m}") for m in MARGINS], "probability"), "chances")
-    text = F.coalesce(F.col("row.text").cast("string"), F.lit(""))
+    text = col["text"].cast("string")
     own = rows.select(
-        "row",
-        *[F.coalesce(F.col(f"row.{c}").cast("string"), F.lit("")).alias(f"cell_{c}") for c in ("source", "lang")],
-        topic_of(text, F.size(words(F.col("row.text").cast("string"))).cast("long")).alias("cell_topic"),
+        "*",
+        *[F.coalesce(col[c].cast("string"), F.lit("")).alias(f"cell_{c}") for c in ("source", "lang")],
+        topic_of(F.coalesce(text, F.lit("")), F.size(words(text)).cast("long")).alias("cell_topic"),
     )
-    kept = own.join(chances, [f"cell_{m}" for m in MARGINS]).where(uniform(F.col("row.doc_id").cast("long"), cfg.seed) < F.col("probability"))
-    return kept.select("row.*")
+    kept = own.join(chances, [f"cell_{m}" for m in MARGINS]).where(uniform(col["doc_id"].cast("long"), cfg.seed) < F.col("probability"))
+    return kept.select(*rows.columns).toDF(*docs.columns)

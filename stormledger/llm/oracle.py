@@ -157,6 +157,85 @@ select doc_id, coalesce(n, 0)::bigint as n_shingles, component_id, doc_id = comp
 from documents left join n using (doc_id) join m using (doc_id)"""
 
 
+def _op11() -> str:
+    return """
+with v as materialized (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * x::double)) as v
+  from embeddings
+  where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as materialized (
+  select a.vec_id as anchor_id, b.vec_id as other_id, a.label = b.label as same, list_dot_product(a.v, b.v)::bigint as score
+  from v a join v b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id),
+p as (
+  select anchor_id, other_id as positive_id, score as positive_score from s where same
+  qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5)
+select anchor_id, positive_id, row_number() over (partition by anchor_id, positive_id order by score desc, other_id)::int as rank,
+       other_id as negative_id, positive_score, score as negative_score
+from p join s using (anchor_id) where not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+qualify rank <= 3"""
+
+
+def _op12() -> str:
+    low = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    terms = f"regexp_extract_all({low}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+    return f"""
+with d as materialized (select doc_id, {terms} as w from documents where len({terms}) > 0),
+q as materialized (select item_id, unnest({terms}) as term from benchmark),
+total as materialized (select count(*) as n_docs, sum(len(w))::bigint as l from d),
+tf as materialized (
+  select doc_id, n, term, count(*) as tf from (select doc_id, len(w) as n, unnest(w) as term from d)
+  where term in (select term from q) group by all),
+weights as materialized (
+  select term, floor(1000 * ln((2 * n_docs + 2)::double / (2 * df + 1)))::bigint as w
+  from (select term, count(*) as df from tf group by 1), total),
+part as (
+  select doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * n_docs) // l))) as s
+  from tf join weights using (term), total),
+scored as (select item_id, doc_id, sum(s)::bigint as score from q join part using (term) group by 1, 2)
+select item_id, row_number() over (partition by item_id order by score desc, doc_id)::int as rank, doc_id, score
+from scored where score > 0 qualify rank <= 10"""
+
+
+def _op13() -> str:
+    rules = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+    listed = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in rules)
+
+    def pieces(part: str, sep: str) -> str:
+        kept = f"list_filter(regexp_split_to_array({part}, '{sep}'), lambda t: t <> '')"
+        return f"list_transform({kept}, lambda t: '{part[0]}:' || regexp_replace(t, '([0-9])[0-9]*', '\\1#', 'g'))"
+
+    each = " || ".join(pieces(p, s) for p, s in (("host", "[.:@-]+"), ("path", "[/._-]+"), ("query", "&+"), ("fragment", "#+")))
+    # All sets of a url's tokens, by the bits of a number; those of labelled urls that are frequent are the rules.
+    subset = "list_sort(list_filter(tokens, lambda t, i: (m >> (i - 1)::int) & 1 = 1))"
+    return f"""
+with s as (
+  select page_id, case when strpos(coalesce(url, ''), '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end as rest from pages),
+p as materialized (
+  select page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path, regexp_extract(rest, '^[^?#]*\\?([^#]*)', 1) as query,
+         regexp_extract(rest, '(?s)^[^#]*#(.*)', 1) as fragment
+  from s),
+rules as (select * from (values {listed}) r(verdict, rule_host, rule_path)),
+fits as (
+  select page_id, arg_max(rule_host || rule_path, length(rule_host || rule_path)) as rule, arg_max(verdict, length(rule_host || rule_path)) as given
+  from p join rules on (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path) group by 1),
+t as materialized (select page_id, host, path, rule, given, list_distinct({each}) as tokens from p left join fits using (page_id)),
+sets as materialized (
+  select page_id, given, {subset} as items from (select page_id, given, tokens, unnest(range(1, 1 << len(tokens))) as m from t)),
+least as (select ceil(0.01::double * count(*)) as least from t where given is not null),
+freq as (select items, count(*) as n from sets where given is not null group by 1),
+found as materialized (
+  select items, given as verdict, count(*) as support, count(*)::double / any_value(n) as confidence
+  from sets join freq using (items) where given is not null group by 1, 2
+  having count(*) >= (select least from least) and count(*)::double / any_value(n) >= 0.7::double),
+best as (
+  select page_id, max({{'c': confidence, 's': support, 'b': verdict = 'block', 'v': verdict}}) as best
+  from sets join found using (items) where given is null group by 1)
+select page_id, host, path, rule, coalesce(given, best.v, 'allow') as verdict, best.v as learned, best.s::bigint as support, best.c as confidence
+from t left join best using (page_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_warc": _op3(),
@@ -164,4 +243,7 @@ def oracle_sql() -> dict[str, str]:
         "op5_quality_rules": _op5(),
         "op6_line_dedup": _op6(),
         "op10_near_duplicates": _op10(),
+        "op11_hard_negatives": _op11(),
+        "op12_search": _op12(),
+        "op13_url_filter": _op13(),
     }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, lines, mixing, neardup, pii, quality, suffixes, toxicity, warc
+from . import decontaminate, language, lines, mixing, neardup, negatives, pii, quality, search, suffixes, toxicity, urls, warc
 from .common import fold, table
 
 
@@ -79,5 +79,29 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label")
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label))
+    return negatives.hard_negatives(rows, vec_id % 50 == 0)
+
+
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+# The host rules of the contract.
+URL_RULES = (
+    urls.HostRule("allow", "org", "/"),
+    urls.HostRule("block", "example.org", "/es/"),
+    urls.HostRule("block", "example.org", "/en/1"),
+    urls.HostRule("allow", "com", "/fr/"),
+    urls.HostRule("block", "com", "/de/"),
+)
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judged(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}

@@ -6,7 +6,8 @@ import re
 WORD = re.compile("[^\x20\x09-\x0d]+")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 # Names that operators use inside.
-CLASHING = ["row", "key", "value", "rep", "component", "n", "n_words", "gone", "gone_id", "leak_id", "tag", "probability", "score", "line", "a", "b"]
+CLASHING = ["row", "key", "value", "rep", "component", "n", "n_words", "gone", "gone_id", "leak_id", "tag", "probability", "score", "line", "a", "b",
+            "meta.tag", "two words", "c0", "learned", "lang.x", "tick`ed"]
 
 
 def documents(spark, rows):
@@ -17,7 +18,7 @@ def documents(spark, rows):
 
 def clashing(df):
     """The same rows with further columns of awkward names."""
-    return df.selectExpr("*", *[f"'x' AS `{c}`" for c in CLASHING])
+    return df.selectExpr("*", *[f"'x' AS `{c.replace('`', '``')}`" for c in CLASHING])
 
 
 LONG = " ".join(f"word{i % 977} and{i % 31}" for i in range(30_000))
