@@ -232,7 +232,7 @@ found as materialized (
 best as (
   select page_id, max({{'c': confidence, 's': support, 'b': verdict = 'block', 'v': verdict}}) as best
   from sets join found using (items) where given is null group by 1)
-select page_id, host, path, rule, coalesce(given, best.v, 'allow') as verdict, best.v as learned, best.s::bigint as support, best.c as confidence
+select page_id, host, path, rule, coalesce(given, best.v, 'allow') as verdict, best.v as learned, coalesce(best.s, 0)::bigint as support, coalesce(best.c, 0) as confidence
 from t left join best using (page_id)"""
 
 

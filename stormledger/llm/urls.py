@@ -158,7 +158,7 @@ def judged(urls: DataFrame, rules: Sequence[HostRule], labelled: DataFrame | Non
 
     Host rules decide where one fits. The others are judged by association rules, learned from `labelled`
     (url, label) rows or, without them, from the urls that host rules decide; where none of them holds the
-    verdict is the default. `learned`, `support` and `confidence` are those of the rule mined, else null.
+    verdict is the default. `learned`, `support` and `confidence` are those of the rule mined, else null and 0.
     A null url, one without `://` or an empty one has no tokens and gets the default. A null label takes no
     part. Repeated rows are judged alike and count each time; other columns are ignored; an empty table gives
     an empty result.
@@ -179,5 +179,5 @@ def judged(urls: DataFrame, rules: Sequence[HostRule], labelled: DataFrame | Non
     met = rows.withColumn("asked", open_).join(best.withColumnRenamed("tokens", "asked"), "asked", "left")
     return met.select(
         "page_id", "host", "path", "rule", F.coalesce("given", "best.verdict", F.lit(cfg.default)).alias("verdict"),
-        F.col("best.verdict").alias("learned"), F.col("best.support").alias("support"), F.col("best.confidence").alias("confidence"),
+        F.col("best.verdict").alias("learned"), F.coalesce("best.support", F.lit(0)).alias("support"), F.coalesce("best.confidence", F.lit(0.0)).alias("confidence"),
     )
