@@ -11,10 +11,12 @@ Documents with equal sets form a class at once. For the rest:
 3. Within each list a few pivots are paired with every member: the one that shares most, the smallest,
    and others. The sketch of the union, which two sketches give, estimates the similarity of a pair;
    what is clearly below the bound goes, the rest is verified on full sets and joined to components.
-4. Members of one list that are still in different components meet new pivots, as long as such pairs
-   outnumber the classes by far; then every such pair of possible sizes is examined. So a list is never
-   expanded into all its pairs where its members are known to belong together or cannot be similar, and
-   no other pair is skipped.
+4. Members of one list that are still in different components meet new pivots for another turn.
+5. What is left is decided by differences. Two members x and y of a list differ in as many windows as their
+   differences from the list's pivot do, and similar ones must share a part of these; so they share one of
+   the rarest windows by which each differs from the pivot, as many as that part leaves room for. Copies
+   that were changed in different places share none, however alike they are, and a list is never expanded
+   into its pairs. Where two differences are too small to matter, both are linked without a look at them.
 """
 
 from __future__ import annotations
@@ -43,13 +45,14 @@ class Settings:
     k: int = 64
     # Pairs whose estimate is below are not verified: over four standard deviations under the bound.
     least_percent: int = 50
-    # Pivots for each list and turn, and turns before all remaining pairs are examined whatever their number.
+    # Pivots for each list and turn, and turns before what is left is decided by differences from a pivot.
     pivots: int = 4
     turns: int = 2
-    # Remaining pairs per class that end the turns.
-    few: int = 4
-    # Sizes within this ratio fall into one bucket when pairs are sought by size.
+    # Lists up to this length have no more pairs than pivots would make, and are paired directly.
+    short: int = 8
+    # Sizes, and weights of differences, within this ratio fall into one bucket when pairs are sought by them.
     bucket: float = 1.05
+    weights: float = 1.25
 
 
 def _sets(batch: pa.RecordBatch, words: int):
@@ -193,15 +196,60 @@ def _cross_pairs(lists: DataFrame, cfg: Settings) -> DataFrame:
     return met.select(F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b")).distinct()
 
 
-def _cross_count(lists: DataFrame, cfg: Settings) -> int:
-    """How many pairs `_cross_pairs` meets at most, from counts alone."""
-    own, sought = _sides(lists, cfg)
-    total = []
-    for key in (["value", "bucket"], ["value", "bucket", "component"]):
-        x = own.groupBy(*key).agg(F.count(F.lit(1)).alias("x"))
-        y = sought.groupBy(*key).agg(F.count(F.lit(1)).alias("y"))
-        total.append(x.join(y, key).agg(F.coalesce(F.sum(F.col("x") * F.col("y")), F.lit(0))).first()[0])
-    return total[0] - total[1]
+def _by_difference(lists: DataFrame, sources: DataFrame, cfg: Settings) -> DataFrame:
+    """Links (a, b) between members of one list in different components: enough of them to join all that belong together.
+
+    Of a member x of n windows, let e be the number of windows in its difference from the pivot and
+    W = (100 + percent) * e - (100 - percent) * n. Then x and y are similar if and only if their differences
+    share (W_x + W_y) / (2 * (100 + percent)) windows or more.
+    """
+    up, down = 100 + cfg.percent, 100 - cfg.percent
+    pivots = lists.groupBy("value").agg(F.min(F.struct(-F.col("weight"), "rep"))["rep"].alias("pivot"))
+    members = stored(lists.join(pivots, "value").select("pivot", "rep", "component", "n", "most").distinct(), "members")
+    both = members.join(sources.toDF("rep", "xs"), "rep").join(sources.toDF("pivot", "ps"), "pivot")
+    apart = F.concat(F.array_except("xs", "ps"), F.array_except("ps", "xs"))
+    far = both.select("pivot", "rep", "component", "n", "most", apart.alias("items")).withColumn("e", F.size("items"))
+    w = (up * F.col("e") - down * F.col("n")).cast("long")
+    far = far.withColumn("w", w).withColumn(
+        "bucket", F.when(w <= 0, F.lit(-1)).otherwise(F.floor(F.log(F.greatest(w, F.lit(1))) / F.log(F.lit(cfg.weights))).cast("int"))
+    )
+    far = stored(far, "differences")
+    # Whoever is surely linked with any member is so with the one of least W.
+    least = far.groupBy("pivot").agg(F.min(F.struct("w", "rep")).alias("l"))
+    sure = far.join(least, "pivot").where((F.col("w") + F.col("l.w") <= 0) & (F.col("rep") != F.col("l.rep")))
+    sure = sure.select(F.least("rep", "l.rep").alias("a"), F.greatest("rep", "l.rep").alias("b")).distinct()
+
+    def room(needed: Column) -> Column:
+        return F.col("e") - F.greatest(F.ceil(needed), F.lit(1)) + 1
+
+    # The member of smaller W is found by the other one, in each bucket of smaller W with the room that it leaves.
+    held = far.withColumn("room", room(F.col("w") / up))
+    buckets = far.groupBy("pivot", "bucket").agg(F.min("w").alias("w_least")).withColumnRenamed("bucket", "theirs")
+    seeking = far.drop("items").join(buckets, "pivot").where("theirs <= bucket")
+    seeking = seeking.withColumn("room", room((F.col("w") + F.col("w_least")) / (2 * up))).where("room > 0")
+    widest = seeking.groupBy("pivot", "rep").agg(F.max("room").alias("room")).union(held.select("pivot", "rep", "room"))
+    widest = widest.groupBy("pivot", "rep").agg(F.max("room").alias("widest")).where("widest > 0")
+    each = far.join(widest, ["pivot", "rep"]).select("pivot", "rep", "widest", F.explode("items").alias("item"))
+    shared = each.groupBy("pivot", "item").agg(F.count(F.lit(1)).alias("holders"))
+    order = Window.partitionBy("pivot", "rep").orderBy("holders", "item")
+    placed = each.join(shared, ["pivot", "item"]).withColumn("place", F.row_number().over(order))
+    # Windows that no other has take room but are no places to meet.
+    placed = stored(placed.where("place <= widest and holders > 1").select("pivot", "rep", "item", "place"), "places")
+    member = ["rep", "component", "n", "most", "w"]
+    own = placed.join(held.select("pivot", "bucket", "room", *member), ["pivot", "rep"]).where("place <= room")
+    own = own.select("pivot", "item", F.col("bucket").alias("theirs"), F.struct(*member).alias("y"))
+    sought = placed.join(seeking.select("pivot", "theirs", "room", *member), ["pivot", "rep"]).where("place <= room")
+    sought = sought.select("pivot", "item", "theirs", F.struct(*member).alias("x"))
+    once = (F.col("y.w") < F.col("x.w")) | ((F.col("y.w") == F.col("x.w")) & (F.col("y.rep") < F.col("x.rep")))
+    fit = (F.col("x.n") <= F.col("y.most")) & (F.col("y.n") <= F.col("x.most")) & (F.col("x.component") != F.col("y.component"))
+    met = sought.join(own, ["pivot", "item", "theirs"]).where(once & fit).groupBy("x.rep", "y.rep").agg(F.min("pivot").alias("pivot"))
+    pairs = stored(met.toDF("x", "y", "pivot"), "pairs")
+    # Decided on the differences alone, which are shorter than the sets.
+    mine = far.select("pivot", F.col("rep").alias("x"), F.col("w").alias("wx"), F.col("items").alias("xs"))
+    theirs = far.select("pivot", F.col("rep").alias("y"), F.col("w").alias("wy"), F.col("items").alias("ys"))
+    both = pairs.join(mine, ["pivot", "x"]).join(theirs, ["pivot", "y"])
+    alike = both.where(2 * up * F.size(F.array_intersect("xs", "ys")) >= F.col("wx") + F.col("wy"))
+    return sure.union(alike.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
 
 
 def union_estimate(x: Column, y: Column, k: int) -> Column:
@@ -274,14 +322,19 @@ def near_duplicates(docs: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     sources = stored(full_sets(texts.select(F.col("doc_id").alias("id"), "text"), cfg), "sets")
 
     lists = stored(supported(lists, sources, cfg), "supported_lists")
-    labels, few, done = components(edges, nodes), cfg.few * reps.count(), False
+    labels = components(edges, nodes)
     for turn in range(cfg.turns + 1):
         mixed = _mixed(lists, labels)
-        crossing = 0 if done else _cross_count(mixed, cfg)
-        if crossing == 0:
+        if mixed.isEmpty():
             break
-        done = turn == cfg.turns or (turn > 0 and crossing <= few)
-        pairs = _cross_pairs(mixed, cfg) if done else _pivot_pairs(mixed, turn, cfg)
+        if turn < cfg.turns:
+            pairs = _pivot_pairs(mixed, turn, cfg)
+        else:
+            length = mixed.groupBy("value").agg(F.count(F.lit(1)).alias("length"))
+            short = mixed.join(length.where(F.col("length") <= cfg.short).select("value"), "value", "left_semi")
+            long = mixed.join(length.where(F.col("length") > cfg.short).select("value"), "value", "left_semi")
+            edges = edges.union(_by_difference(long, sources, cfg))
+            pairs = _cross_pairs(short, cfg)
         edges = stored(edges.union(verified(stored(pairs, "pairs"), reps, sources, cfg)).distinct(), "edges")
         labels = components(edges, nodes)
 

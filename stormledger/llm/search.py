@@ -257,9 +257,8 @@ def ranked(docs: DataFrame, items: DataFrame, cfg: Settings = Settings()) -> Dat
         classes = keyed.groupBy("h", "m", "bag").agg(F.min("doc_id").alias("first"))
         order = [F.desc("score"), F.col("first")]
         top = stored(_first(best_classes(classes, block, weights, cfg), "item", order, cfg.best).drop("rank"), "classes")
-        # Members of the classes found: met by hash, verified by the bag, and no more than can be ranked.
-        wanted = top.select("h", "m", F.col("bag").alias("of_bag")).distinct()
-        members = keyed.join(wanted, ["h", "m"]).where("bag = of_bag").select("doc_id", "h", "m", "bag")
+        # Members of the classes found: met by hash, told apart by the bag, and no more than can be ranked.
+        members = keyed.join(top.select("h", "m").distinct(), ["h", "m"], "left_semi")
         members = members.withColumn("place", F.row_number().over(Window.partitionBy("h", "m", "bag").orderBy("doc_id"))).where(F.col("place") <= cfg.best)
         listed = top.select("item", "score", "h", "m", "bag").join(members, ["h", "m", "bag"])
         ranks = _first(listed, "item", [F.desc("score"), F.col("doc_id"), F.col("place")], cfg.best)

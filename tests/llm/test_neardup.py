@@ -77,3 +77,20 @@ def test_an_id_with_two_texts_links_both_groups(spark):
     a, b = "a1 a2 a3 a4 a5 a6", "b1 b2 b3 b4 b5 b6"
     found = N.near_duplicates(documents(spark, [(1, a), (5, a), (5, b), (7, b)])).collect()
     assert {r["component_id"] for r in found} == {1}
+
+
+def test_differences_from_pivots_alone_find_all_links(spark):
+    """No pivot turns, no lists paired directly: deletions only, insertions only, and both, around two bases."""
+    rnd = random.Random(6)
+    bases = [prose(rnd, 90), prose(rnd, 140)]
+
+    def changed(text):
+        w = text.split(" ")
+        for _ in range(rnd.randint(0, 4)):
+            i = rnd.randrange(len(w))
+            w[i : i + rnd.randint(0, 2)] = [f"v{rnd.randint(0, 9)}"] * rnd.randint(0, 1)
+        return " ".join(w)
+
+    rows = [(i, changed(rnd.choice(bases))) for i in range(140)]
+    component = compare(spark, rows, N.Settings(turns=0, short=1))
+    assert 2 < len(set(component.values())) < 120

@@ -96,5 +96,5 @@ def test_awkward_urls(spark):
         (None, "http://xorg/"), (8, "http://u://v/w"), (9, "http://a.org?u=/x"), (10, "http://b.com/de/" + "long/" * 5_000), (11, "http://b.com\n/de/"),
     ]
     got = judged(spark, rows)
-    assert [r[:5] for r in got] == sorted(((p, *parts(u)[:2], given(u)[0], given(u)[1] or "allow") for p, u in rows), key=str)
+    assert got == plain(rows, [(u, given(u)[1]) for _, u in rows if given(u)[1]], U.Settings())
     assert judged(spark, []) == [] and judged(spark, [(1, "x")]) == [(1, "", "", None, "allow", None)]
