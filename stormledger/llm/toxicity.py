@@ -39,7 +39,7 @@ WORD = re.compile(r"[^\W\d_]+")
 # Signs that may surround a word, and those of them that never stand for its first or last letter.
 AROUND = ".,;:?\"'`()[]{}<>#%&^~=/\\_-!*|+…“”„«»¡¿"
 OUTSIDE = "".join(c for c in AROUND if c not in SIGNS)
-TRIPLES = [c * 3 for c in ALPHABET[1:]]
+THRICE = re.compile(r"([^\W\d_])\1\1")
 STRETCHED = re.compile(r"[^\W\d_]*?([^\W\d_])\1\1[^\W\d_]*")
 # Three or more single letters or signs with up to three blanks, dots, hyphens or underscores between each.
 # This and PART read texts whose underscores were made blanks.
@@ -57,6 +57,8 @@ STEMS = (4, 5, 6)
 # Disguised words, with repeats folded, are no longer than this; longer runs of letters and digits are
 # codes and addresses. Longer rows of single letters are read in overlapping stretches of this length.
 LONGEST = 40
+# Tokens without signs that a task remembers at a time.
+PLAIN_HELD = 200_000
 
 
 @dataclass(frozen=True)
@@ -66,11 +68,17 @@ class Settings:
     least_documents: int = 3
     # Chance that any word at all enters by luck.
     error: float = 0.05
+    # Least odds of a word, of which the best is chosen on one part in `parts` of the labelled documents: words of
+    # copied texts pass any test without telling anything of others.
+    least_odds: tuple[float, ...] = (0.0, 1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0)
+    parts: int = 4
     # Cost, as a log probability, of a disguised letter and of a letter stretched over three or more.
     sign_cost: float = -1.0
     repeat_cost: float = -0.5
     # Cost of reading two equal letters, which plain words have too, as one.
     double_cost: float = -4.0
+    # Cost of reading parts of words as one word, against the odds that the word adds. Parts meet by chance too.
+    gap_cost: float = -4.0
     # Added to counts of documents with a word.
     smoothing: float = 0.5
     # Distinct words a task holds before it passes on its counts.
@@ -112,6 +120,7 @@ class Restorer:
         self.model, self.cfg = model, cfg
         self.decode = lru_cache(50_000)(self._decode)
         self.token = lru_cache(100_000)(self._token)
+        self.plain: set[str] = set()
 
     def _steps(self, token: str) -> list[list[tuple[str, float]]]:
         """For each run of one sign: the spellings it may stand for, with their costs."""
@@ -169,17 +178,22 @@ class Restorer:
             if word and word not in found:
                 parts.setdefault(word, set()).update(WORD.findall(plain))
 
-        for raw in set(low.split()):
-            t = raw.strip(OUTSIDE)
-            if not t.isalpha():
-                for word, plain in self.token(t):
-                    if word not in found:
-                        parts.setdefault(word, set()).update(plain)
-        if not low.isascii() or any(t in low for t in TRIPLES):
-            for m in STRETCHED.finditer(low):
+        # Most tokens are plain words, seen before; they leave at once by a difference of sets.
+        fresh = set(low.split()) - self.plain
+        signs = [(raw, t) for raw in fresh if not raw.isalpha() and not (t := raw.strip(OUTSIDE)).isalpha()]
+        thrice = [raw for raw in fresh if THRICE.search(raw)] if THRICE.search(" ".join(fresh)) else []
+        for _, t in signs:
+            for word, plain in self.token(t):
+                if word not in found:
+                    parts.setdefault(word, set()).update(plain)
+        for raw in thrice:
+            for m in STRETCHED.finditer(raw):
                 token = LONG_REPEAT.sub(r"\1\1\1", m.group())
                 if len(token) <= LONGEST:
                     add(token, token)
+        self.plain.update(fresh.difference(thrice, [raw for raw, _ in signs]))
+        if len(self.plain) > PLAIN_HELD:
+            self.plain.clear()
         for m in SPACED.finditer(low.replace("_", " ")):
             if any(map(str.isalpha, m.group())):
                 self._spaced(m.group(), add, parts)
@@ -225,15 +239,20 @@ class Evidence:
     """Summed log odds of the telling words of a text; a word counts once, by its most telling form.
 
     `ordinary` are plain words that telling words are made of: parts that are all such are taken as they stand.
+    A word that is broken into parts adds its odds less `gap_cost`; words that add nothing then aren't sought.
     """
 
-    def __init__(self, odds: dict[str, float], ordinary: set[str] = frozenset()):
+    def __init__(self, odds: dict[str, float], ordinary: set[str] = frozenset(), gap_cost: float = 0.0):
         self.odds, self.ordinary = odds, ordinary | LONE
         self.whole = {f for f in odds if not f.endswith("*")}
         self.stems = [(n, {f[:-1] for f in odds if f.endswith("*") and len(f) == n + 1}) for n in STEMS]
-        # Beginnings of telling words, the words themselves among them.
-        self.begun = {f.rstrip("*")[:n] for f in odds for n in range(1, len(f) + 1)}
+        # Those of words that are sought in parts.
+        self.broken = {f: o + gap_cost for f, o in odds.items() if o + gap_cost > 0}
+        self.broken_stems = [(n, {f[:-1] for f in self.broken if f.endswith("*") and len(f) == n + 1}) for n in STEMS]
+        # Beginnings of these, the words themselves among them.
+        self.begun = {f.rstrip("*")[:n] for f in self.broken for n in range(1, len(f) + 1)}
         self.through, self.telling = lru_cache(100_000)(self._through), lru_cache(50_000)(self._telling)
+        self.closed: set[str] = set()
         self.first, self.goes_on = lru_cache(100_000)(self._first), lru_cache(100_000)(self._goes_on)
 
     def hits(self, words: set[str], parts: dict[str, set[str]] | None = None) -> dict[str, float]:
@@ -253,8 +272,8 @@ class Evidence:
 
     def _telling(self, word: str) -> float:
         """The odds of a word by itself or by its beginnings, 0 if it tells nothing."""
-        own = [self.odds.get(word, 0.0)]
-        own += [self.odds[word[:n] + "*"] for n, stems in self.stems if len(word) > n and word[:n] in stems]
+        own = [self.broken.get(word, 0.0)]
+        own += [self.broken[word[:n] + "*"] for n, stems in self.broken_stems if len(word) > n and word[:n] in stems]
         return max(own)
 
     def joined(self, text: str) -> dict[str, float]:
@@ -266,9 +285,19 @@ class Evidence:
         found: dict[str, float] = {}
         tokens = PART.findall(text.lower().replace("_", " "))
         begun, through, first, goes_on, plain_ones = self.begun, self.through, self.first, self.goes_on, self.ordinary
-        for i, token in enumerate(tokens[:-1]):
-            if not (states := first(token)) or not goes_on(token, tokens[i + 1][0]):
+        # Few tokens begin a telling word; the others, once known, leave by a difference of sets.
+        fresh = set(tokens) - self.closed
+        open_ = {t for t in fresh if first(t)}
+        self.closed.update(fresh - open_)
+        if len(self.closed) > PLAIN_HELD:
+            self.closed.clear()
+        if not open_:
+            return found
+        for i in [i for i, t in enumerate(tokens[:-1]) if t in open_]:
+            token = tokens[i]
+            if not goes_on(token, tokens[i + 1][:3]):
                 continue
+            states = first(token)
             plain, single, mine = token in plain_ones, len(token) == 1, {}
             for k in range(i + 1, len(tokens)):
                 token = tokens[k]
@@ -294,8 +323,8 @@ class Evidence:
         states = self._through("", token) & self.begun
         return frozenset() if any(map(self.telling, states)) else states
 
-    def _goes_on(self, token: str, sign: str) -> bool:
-        return any(self.through(s, sign) for s in self.first(token))
+    def _goes_on(self, token: str, signs: str) -> bool:
+        return any(self.through(s, signs) for s in self.first(token))
 
     def _through(self, state: str, token: str) -> frozenset[str]:
         """Spellings of `state` and a part after it that begin a telling word, or go on after a telling beginning."""
@@ -305,7 +334,7 @@ class Evidence:
             for s in states:
                 for letter in SIGNS.get(c, c if c.isalpha() else ""):
                     longer = s + letter
-                    if longer in self.begun or (len(s) >= STEMS[0] and any(len(s) >= n and s[:n] in stems for n, stems in self.stems)):
+                    if longer in self.begun or (len(s) >= STEMS[0] and any(len(s) >= n and s[:n] in stems for n, stems in self.broken_stems)):
                         after.add(longer)
                     if s.endswith(letter):
                         after.add(s)
@@ -345,15 +374,19 @@ def lexicon(docs: DataFrame, labels: DataFrame, model: np.ndarray, cfg: Settings
     marked = marked.agg(F.max((F.col("toxic") > 0).cast("int")).alias("is_toxic"))
     # Labels grow with the documents, so texts are brought to them by the same plan at every size.
     texts = packed(docs.select(F.col("doc_id").cast("long").alias("label_id"), "text"), "text")
-    texts = texts.join(marked.hint("merge"), "label_id").select("text", "is_toxic")
-    totals = marked.join(docs.select(F.col("doc_id").cast("long").alias("label_id")), "label_id").groupBy().agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("is_toxic"), F.lit(0)).alias("t")
-    ).first()
-    n_toxic, n_clean = totals["t"], totals["n"] - totals["t"]
-    if not n_toxic or not n_clean:
-        return (math.inf if n_toxic else -math.inf), {}, set()
+    apart = F.pmod(F.xxhash64("label_id"), cfg.parts) == 0
+    texts = stored(texts.join(marked.hint("merge"), "label_id").select("text", "is_toxic", apart.alias("apart")), "labelled")
+    totals = texts.groupBy().agg(*[
+        F.coalesce(F.sum(F.when(c, 1)), F.lit(0)) for c in (F.col("is_toxic") == 1, F.col("is_toxic") == 0, F.expr("is_toxic = 1 and not apart"), F.expr("is_toxic = 0 and not apart"))
+    ]).first()
+    if not totals[0] or not totals[1]:
+        return (math.inf if totals[0] else -math.inf), {}, set()
+    # So few documents that a part has only one label: all are counted, and no least odds are chosen.
+    split = totals[2] > 0 and totals[3] > 0
+    n_toxic, n_clean = (totals[2], totals[3]) if split else (totals[0], totals[1])
+    counting = texts.where("not apart") if split else texts
     s, share = cfg.smoothing, n_toxic / (n_toxic + n_clean)
-    counted = texts.mapInArrow(task, "word string, clean long, toxic long").groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    counted = counting.select("text", "is_toxic").mapInArrow(task, "word string, clean long, toxic long").groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     tried = stored(counted.where(F.col("toxic") >= cfg.least_documents), "words")
     t, c = F.col("toxic"), F.col("clean")
     ratio = t * F.log(t / ((t + c) * share)) + F.when(c > 0, c * F.log(c / ((t + c) * (1 - share)))).otherwise(0.0)
@@ -364,11 +397,35 @@ def lexicon(docs: DataFrame, labels: DataFrame, model: np.ndarray, cfg: Settings
         .orderBy(F.desc("ratio"), "word").limit(cfg.most_words).select("word", "odds")
     )
     odds = {r["word"]: r["odds"] for r in telling.collect()}
+    prior = math.log(totals[0] / totals[1])
+    if split:
+        least = _least_odds(texts.where("apart").select("text", "is_toxic"), model, prior, odds, cfg)
+        odds = {w: o for w, o in odds.items() if o >= least}
     # No more of them than telling words have stretches of letters.
     within = {w[i:k] for w in (f.rstrip("*") for f in odds) for i in range(len(w)) for k in range(i + 2, len(w) + 1)}
     stretches = docs.sparkSession.createDataFrame([(w,) for w in sorted(within)], "word string")
     ordinary = {r["word"] for r in tried.join(stretches, "word", "left_semi").collect()}
-    return math.log(n_toxic / n_clean), odds, ordinary
+    return prior, odds, ordinary
+
+
+def _least_odds(texts: DataFrame, model: np.ndarray, prior: float, odds: dict[str, float], cfg: Settings) -> float:
+    """The least odds under which labelled texts, (text, is_toxic), are likeliest; of equal ones the smallest."""
+
+    def task(batches):
+        restorer = Restorer(model, cfg)
+        tries = [Evidence({w: o for w, o in odds.items() if o >= least}) for least in cfg.least_odds]
+        loss = np.zeros(len(tries))
+        for batch in batches:
+            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                words, parts = restorer.readings(unpacked(text))
+                for k, evidence in enumerate(tries):
+                    total = prior + sum(evidence.hits(words, parts).values())
+                    loss[k] += np.logaddexp(0.0, -total if toxic else total)
+        yield pa.RecordBatch.from_arrays([pa.array(cfg.least_odds, pa.float64()), pa.array(loss)], names=["least", "loss"])
+
+    losses = texts.mapInArrow(task, "least double, loss double").groupBy("least").agg(F.round(F.sum("loss"), 6).alias("loss"))
+    best = losses.orderBy("loss", "least").first()
+    return best["least"] if best else cfg.least_odds[0]
 
 
 def scores(docs: DataFrame, labels: DataFrame, learn: Column | None = None, cfg: Settings = Settings()) -> DataFrame:
@@ -387,7 +444,7 @@ def scores(docs: DataFrame, labels: DataFrame, learn: Column | None = None, cfg:
 
     def task(batches):
         restorer = Restorer(model, cfg)
-        evidence = Evidence(odds, ordinary)
+        evidence = Evidence(odds, ordinary, cfg.gap_cost)
         for batch in batches:
             score, restored = [], []
             for text in batch.column(1).to_pylist():
