@@ -58,7 +58,7 @@ STEMS = (4, 5, 6)
 # codes and addresses. Longer rows of single letters are read in overlapping stretches of this length.
 LONGEST = 40
 # Tokens without signs that a task remembers at a time.
-PLAIN_HELD = 200_000
+PLAIN_HELD = 400_000
 
 
 @dataclass(frozen=True)
@@ -246,6 +246,8 @@ class Evidence:
         self.odds, self.ordinary = odds, ordinary | LONE
         self.whole = {f for f in odds if not f.endswith("*")}
         self.stems = [(n, {f[:-1] for f in odds if f.endswith("*") and len(f) == n + 1}) for n in STEMS]
+        # What all these begin with: other words have none of them.
+        self.heads = {stem[: STEMS[0]] for _, stems in self.stems for stem in stems}
         # Those of words that are sought in parts.
         self.broken = {f: o + gap_cost for f, o in odds.items() if o + gap_cost > 0}
         self.broken_stems = [(n, {f[:-1] for f in self.broken if f.endswith("*") and len(f) == n + 1}) for n in STEMS]
@@ -257,11 +259,11 @@ class Evidence:
 
     def hits(self, words: set[str], parts: dict[str, set[str]] | None = None) -> dict[str, float]:
         found = {w: self.odds[w] for w in words & self.whole}
-        for n, stems in self.stems:
-            if stems and not stems.isdisjoint(w[:n] for w in words):
-                for w in words:
-                    if len(w) > n and w[:n] in stems:
-                        found[w] = max(found.get(w, 0.0), self.odds[w[:n] + "*"])
+        some = [w for w in words if w[: STEMS[0]] in self.heads]
+        for n, stems in self.stems if some else ():
+            for w in some:
+                if len(w) > n and w[:n] in stems:
+                    found[w] = max(found.get(w, 0.0), self.odds[w[:n] + "*"])
         # The words that a restored one stands for, or that one, whichever tell more.
         for w in sorted(found.keys() & (parts or {}).keys()):
             others = (parts[w] & found.keys()) - {w}
