@@ -234,15 +234,19 @@ def _by_difference(lists: DataFrame, sources: DataFrame, cfg: Settings) -> DataF
     order = Window.partitionBy("pivot", "rep").orderBy("holders", "item")
     placed = each.join(shared, ["pivot", "item"]).withColumn("place", F.row_number().over(order))
     # Windows that no other has take room but are no places to meet.
-    placed = stored(placed.where("place <= widest and holders > 1").select("pivot", "rep", "item", "place"), "places")
-    member = ["rep", "component", "n", "most", "w"]
-    own = placed.join(held.select("pivot", "bucket", "room", *member), ["pivot", "rep"]).where("place <= room")
-    own = own.select("pivot", "item", F.col("bucket").alias("theirs"), F.struct(*member).alias("y"))
-    sought = placed.join(seeking.select("pivot", "theirs", "room", *member), ["pivot", "rep"]).where("place <= room")
-    sought = sought.select("pivot", "item", "theirs", F.struct(*member).alias("x"))
+    placed = placed.where("place <= widest and holders > 1").groupBy("pivot", "rep").agg(F.array_sort(F.collect_list(F.struct("place", "item"))).alias("places"))
+    placed = stored(placed, "places")
+    mine = F.transform(F.filter("places", lambda p: p["place"] <= F.col("room")), lambda p: p["item"])
+    member = ["rep", "component", "n", "most", "w", "mine"]
+    own = placed.join(held.select("pivot", "rep", "component", "n", "most", "w", "bucket", "room"), ["pivot", "rep"]).withColumn("mine", mine)
+    own = own.select("pivot", F.col("bucket").alias("theirs"), F.struct(*member).alias("y"), F.explode("mine").alias("item"))
+    sought = placed.join(seeking.select("pivot", "rep", "component", "n", "most", "w", "theirs", "room"), ["pivot", "rep"]).withColumn("mine", mine)
+    sought = sought.select("pivot", "theirs", F.struct(*member).alias("x"), F.explode("mine").alias("item"))
     once = (F.col("y.w") < F.col("x.w")) | ((F.col("y.w") == F.col("x.w")) & (F.col("y.rep") < F.col("x.rep")))
     fit = (F.col("x.n") <= F.col("y.most")) & (F.col("y.n") <= F.col("x.most")) & (F.col("x.component") != F.col("y.component"))
-    met = sought.join(own, ["pivot", "item", "theirs"]).where(once & fit).groupBy("x.rep", "y.rep").agg(F.min("pivot").alias("pivot"))
+    # Of the windows that both have as places, the first makes the pair.
+    here = F.array_intersect("x.mine", "y.mine")[0] == F.col("item")
+    met = sought.join(own, ["pivot", "item", "theirs"]).where(once & fit & here).groupBy("x.rep", "y.rep").agg(F.min("pivot").alias("pivot"))
     pairs = stored(met.toDF("x", "y", "pivot"), "pairs")
     # Decided on the differences alone, which are shorter than the sets.
     mine = far.select("pivot", F.col("rep").alias("x"), F.col("w").alias("wx"), F.col("items").alias("xs"))
