@@ -295,6 +295,14 @@ def _auc() -> str:
 
 QUERIES: dict[str, str] = {
     "load_outage_csv": "select * from fx_raw",
+    "outage_upsert": """
+        select fips_code, run_start_time, customers_out, total_customers from fx_raw
+        where fips_code is not null and run_start_time is not null
+        qualify row_number() over (partition by fips_code, run_start_time order by customers_out desc nulls last, total_customers desc nulls last) = 1""",
+    "outage_quarantine": """
+        select fips_code, count(*) as n, sum(customers_out)::bigint as customers_out, 'read' as kind
+        from fx_raw where coalesce(customers_out % 7, 1) <> 0 group by 1
+        union all select fips_code, count(*), 0, 'quarantined' from fx_raw where customers_out % 7 = 0 group by 1""",
     "outage_part": "select * replace (round(outage_ratio, 6) as outage_ratio) from readings",
     "counties_ref": f"select county_fips_code, state_fips_code, state_name, county_name, {WKT} as county_geom from ref",
     "init_time_list": f"select init_time, count(*) as forecast_rows from fx_flat where init_time in ({INITS}) group by 1",
@@ -377,6 +385,15 @@ QUERIES: dict[str, str] = {
                {n("p < threshold and actual_event = 0")} as true_negatives,
                {n("p < threshold and actual_event = 1")} as false_negatives
         from scores, (select range * 1e0 / 100 as threshold from range(101)) group by threshold""",
+    "roc_points": f"""
+        select round(t, 6) as threshold,
+               round({n("p >= t and actual_event = 1")} * 1e0 / nullif({n("actual_event = 1")}, 0), 6) as recall,
+               round({n("p >= t and actual_event = 0")} * 1e0 / nullif({n("actual_event = 0")}, 0), 6) as false_positive_rate,
+               {n("p >= t and actual_event = 1")} as true_positives,
+               {n("p >= t and actual_event = 0")} as false_positives,
+               {n("p < t and actual_event = 0")} as true_negatives,
+               {n("p < t and actual_event = 1")} as false_negatives
+        from scores, (select distinct p as t from scores) group by t""",
     "threshold_sweep": _sweep(),
 }
 STORED = {

@@ -33,8 +33,10 @@ from stormledger.sources.forecasts import explode_forecast, forecast_scan, in_in
 from stormledger.sources.outages import (
     load_outage_csv,
     outage_part,
+    read_outage_lines,
     read_outage_part,
     save_outage_part,
+    upsert_outage_raw,
 )
 from stormledger.schemas import BANDS
 from stormledger.storage import scratch_path, stored
@@ -174,6 +176,29 @@ def _csv(i: Inputs) -> DataFrame:
     return load_outage_csv(i.spark, path)
 
 
+def _upsert(i: Inputs) -> DataFrame:
+    """Readings with other counts are loaded first, then the true ones, twice: only the latest stay, once each."""
+    path = scratch_path(i.spark, "outage_raw")
+    upsert_outage_raw(i.raw.withColumn("customers_out", F.col("customers_out") + 1_000), path)
+    for _ in range(2):
+        upsert_outage_raw(i.raw, path)
+    return i.spark.read.parquet(path).select("fips_code", "run_start_time", "customers_out", "total_customers")
+
+
+def _quarantine(i: Inputs) -> DataFrame:
+    """Lines of every seventh count are spoilt, in a different way by the count's last digit, before they are read."""
+    path, n = scratch_path(i.spark, "outage_lines"), F.col("customers_out")
+    time = F.date_format("run_start_time", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    texts = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in i.raw.columns} | {"run_start_time": time}
+    spoilt = F.when(n % 7 == 0, F.when(n % 2 == 0, F.lit("many")).otherwise(F.lit("1.5.2"))).otherwise(texts["customers_out"])
+    lines = i.raw.select(*[(spoilt if c == "customers_out" else texts[c]).alias(c) for c in i.raw.columns])
+    lines.write.options(header=True, emptyValue="").csv(path)
+    good, bad = read_outage_lines(i.spark, path)
+    kinds = good.groupBy("fips_code").agg(F.count(F.lit(1)).alias("n"), F.sum("customers_out").alias("customers_out")).withColumn("kind", F.lit("read"))
+    held = bad.groupBy(F.split("line", ",")[0].cast("long").alias("fips_code")).agg(F.count(F.lit(1)).alias("n"))
+    return kinds.unionByName(held.withColumns({"kind": F.lit("quarantined"), "customers_out": F.lit(0).cast("long")}))
+
+
 def _counties(i: Inputs) -> DataFrame:
     """Outlines go out as text and come back from it."""
     text = stored(FX.counties(i.spark, i.sf_dir).withColumn("county_geom", to_wkt("county_geom")), "outlines")
@@ -265,6 +290,8 @@ def _batch(i: Inputs, key: str) -> DataFrame:
 BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     # Sources and sinks.
     "load_outage_csv": _csv,
+    "outage_upsert": _upsert,
+    "outage_quarantine": _quarantine,
     "outage_part": _stored_outages,
     "counties_ref": _counties,
     "init_time_list": lambda i: i.forecasts.where(in_init_times(CFG))
@@ -307,6 +334,7 @@ BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "evaluate_classification": lambda i: _all_rounded(E.evaluate_classification(stored(i.fixed_scores, "scores"))),
     "confusion_matrix": lambda i: E.confusion_matrix(i.fixed_scores),
     "roc_curve": lambda i: rounded(E.roc_curve(i.fixed_scores), "recall", "false_positive_rate"),
+    "roc_points": lambda i: rounded(E.roc_points(i.fixed_scores), "threshold", "recall", "false_positive_rate"),
     "threshold_sweep": lambda i: rounded(threshold_sweep(i.fixed_scores), "precision", "recall", "f1"),
     # Learned models: no SQL equivalent.
     "train_regressor": lambda i: _evaluated(i, "regressor"),

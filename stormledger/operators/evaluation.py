@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.flags import probability_tier, severity_tier
 from ..functions.scores import safe_ratio
 from ..schemas import MODEL_FEATURES
+from ..storage import stored
 from .models import feature_inputs, positive_probability, scored
 from .training import split_rows
 
@@ -188,6 +189,45 @@ def roc_curve(predictions: DataFrame, steps: int = ROC_STEPS) -> DataFrame:
     ).orderBy("threshold")
 
 
+def roc_points(predictions: DataFrame) -> DataFrame:
+    """Counts and rates at every score that occurs, exact, however many there are.
+
+    A score's counts are prefix sums over all scores above it. Scores are counted, then dealt in ranges
+    over tasks; each range's totals, a row per range, give what stands above it, and within a range
+    counts are summed up in order. Rows without a score pass no threshold but count as what they are.
+    """
+    counted = predictions.groupBy(F.col("predicted_probability").alias("threshold")).agg(
+        F.count_if(F.col("actual_event") == 1).alias("pos"), F.count_if(F.col("actual_event") == 0).alias("neg")
+    )
+    ranged = counted.repartitionByRange(F.desc("threshold")).withColumn("part", F.spark_partition_id())
+    # Stored, as the ranges are not the same when they are made again.
+    rows = stored(ranged, "roc_counts")
+    parts = stored(rows.groupBy("part").agg(F.sum(F.when(F.col("threshold").isNotNull(), F.col("pos"))).alias("pos"),
+                                            F.sum(F.when(F.col("threshold").isNotNull(), F.col("neg"))).alias("neg")), "roc_ranges")
+    ranges = parts.agg(F.array_sort(F.collect_list(F.struct("part", "pos", "neg"))).alias("all"))
+
+    def earlier(name: str):
+        before = F.filter("all", lambda q: q["part"] < F.col("one.part"))
+        return F.aggregate(before, F.lit(0).cast("long"), lambda a, q: a + F.coalesce(q[name], F.lit(0)))
+
+    above = ranges.select("all", F.explode("all").alias("one")).select(
+        F.col("one.part").alias("part"), earlier("pos").alias("pos_above"), earlier("neg").alias("neg_above")
+    )
+    positives, negatives = rows.agg(F.coalesce(F.sum("pos"), F.lit(0)), F.coalesce(F.sum("neg"), F.lit(0))).first()
+    upto = Window.partitionBy("part").orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
+    summed = rows.where("threshold is not null").select("part", "threshold", F.sum("pos").over(upto).alias("pos"), F.sum("neg").over(upto).alias("neg"))
+    tp, fp = F.col("pos") + F.col("pos_above"), F.col("neg") + F.col("neg_above")
+    return summed.join(above, "part").select(
+        "threshold",
+        safe_ratio(tp, F.lit(positives)).alias("recall"),
+        safe_ratio(fp, F.lit(negatives)).alias("false_positive_rate"),
+        tp.alias("true_positives"),
+        fp.alias("false_positives"),
+        (F.lit(negatives) - fp).alias("true_negatives"),
+        (F.lit(positives) - tp).alias("false_negatives"),
+    )
+
+
 def feature_importance(model: PipelineModel, data: DataFrame) -> DataFrame:
     """How much each feature weighs: gain for trees, standardised coefficient size otherwise.
     A feature the model could not use weighs nothing."""

@@ -52,7 +52,7 @@ def correlation_steps() -> list[Step]:
         Step("county_thresholds", "table", lambda ws: county_thresholds(ws.get("weather_features"), ws.cfg)),
         Step(
             "outage_vs_weather",
-            "view",
+            "table",
             lambda ws: outage_vs_weather(
                 ws.get("six_hour_grid"), ws.get("weather_features"), ws.get("outage_6h_qc"), ws.cfg
             ),
@@ -99,6 +99,7 @@ def evaluation_steps(cfg: Config, run_id: str) -> list[Step]:
                 "evaluation": E.evaluate_classification,
                 "confusion_matrix": E.confusion_matrix,
                 "roc_curve": E.roc_curve,
+                "roc_points": E.roc_points,
             }
 
         def scored(ws: Workspace, key=key, predict=predict) -> DataFrame:

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from ..config import Config
 from ..functions.scores import safe_ratio
 from ..functions.times import date_in_window, to_ts
 from ..schemas import OUTAGE_COLUMNS, OUTAGE_RAW
+from ..storage import stored
 from .tables import write_clustered, write_table
 
 
@@ -21,6 +23,43 @@ def load_outage_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(OUTAGE_RAW).options(header=True, enforceSchema=False, mode="FAILFAST").csv(path)
 
 
+def read_outage_lines(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(readings, quarantined): the lines that can be read, and the others as (line, file), for a load that must not stop.
+
+    Lines with missing or further fields, or with values unreadable as their types, are quarantined
+    whole. The header must still name the declared columns. Both are stored, so the files are read once.
+    """
+    lines = (
+        spark.read.schema(f"{OUTAGE_RAW}, bad_line string")
+        .options(header=True, enforceSchema=False, mode="PERMISSIVE", columnNameOfCorruptRecord="bad_line")
+        .csv(path)
+        .withColumn("file", F.input_file_name())
+    )
+    read = stored(lines, "outage_lines")
+    good = read.where("bad_line is null").drop("bad_line", "file")
+    return good, read.where("bad_line is not null").select(F.col("bad_line").alias("line"), "file")
+
+
+def upsert_outage_raw(readings: DataFrame, path: str) -> None:
+    """Merge readings into the stored ones: one row per county and time, that of the latest load.
+
+    Loading the same readings again changes nothing. Of readings of one load that share county and
+    time the one with most customers out stays, then the one with most customers. Readings without
+    county or time have no key and are left out. Old and new rows meet in one aggregate, which
+    combines before its shuffle.
+    """
+    spark, key = readings.sparkSession, ["fips_code", "run_start_time"]
+    rows = readings.withColumn("load", F.lit(1))
+    try:
+        rows = rows.unionByName(spark.read.parquet(path).withColumn("load", F.lit(0)))
+    except AnalysisException:
+        pass  # nothing is stored yet
+    rest = [c for c in readings.columns if c not in key]
+    order = F.struct("load", F.coalesce("customers_out", F.lit(-1)), F.coalesce("total_customers", F.lit(-1)), *[F.col(c).alias(f"last_{c}") for c in rest])
+    latest = rows.where("fips_code is not null and run_start_time is not null").groupBy(*key).agg(F.max(order).alias("r"))
+    write_table(latest.select(*[F.col(c) if c in key else F.col(f"r.last_{c}").alias(c) for c in readings.columns]), path)
+
+
 def save_outage_raw(readings: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Store raw readings. Overwrites, so a repeated load adds nothing; `append` is opt-in."""
     write_table(readings, path, mode)

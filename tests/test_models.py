@@ -99,7 +99,7 @@ def test_unknown_model():
 
 
 def predictions(spark, data):
-    rows = [(y, p, int(p >= 0.5)) for y, p in data]
+    rows = [(y, p, int(p is not None and p >= 0.5)) for y, p in data]
     return spark.createDataFrame(rows, "actual_event bigint, predicted_probability double, predicted_event bigint")
 
 
@@ -126,6 +126,20 @@ def test_roc_is_exact_at_cutoffs(spark):
         assert r.false_positives == sum(y == 0 and p >= r.threshold for y, p in data), r.threshold
 
 
+def test_roc_points_are_exact_at_every_score(spark):
+    data = [(k % 3 == 0, (k * 37 % 101) / 101) for k in range(300)] + [(1, None), (0, None), (1, 0.5)]
+    data = [(int(y), p) for y, p in data]
+    got = {r.threshold: r for r in E.roc_points(predictions(spark, data).repartition(5)).collect()}
+    scored = [(y, p) for y, p in data if p is not None]
+    assert set(got) == {p for _, p in scored}
+    for t, r in got.items():
+        tp, fp = (sum(y == v and p >= t for y, p in scored) for v in (1, 0))
+        n_pos = sum(y for y, _ in data)
+        assert (r.true_positives, r.false_positives, r.false_negatives, r.true_negatives) == (tp, fp, n_pos - tp, len(data) - n_pos - fp)
+        assert r.recall == tp / n_pos
+    assert E.roc_points(predictions(spark, data[:1]).where("1 = 0")).count() == 0
+
+
 def test_single_class_training(data):
     none = data.withColumn("outage_event", F.lit(0).cast("bigint"))
     for key in ("logistic", "classifier"):

@@ -9,7 +9,8 @@ from stormledger.plans.runs import ordered_phases, recent_runs, run_phases, run_
 from stormledger.plans.workspace import Workspace
 from stormledger.schemas import OUTAGE_RAW
 from stormledger.sources.forecasts import forecast_scan, save_forecasts
-from stormledger.sources.outages import load_outage_csv, read_outage_part, save_outage_raw
+from stormledger.sources.outages import load_outage_csv, read_outage_lines, read_outage_part, save_outage_raw, upsert_outage_raw
+from stormledger.sources.tables import write_clustered, write_table
 from stormledger.sources.tables import ensure_namespace
 
 from .helpers import COUNTIES, DAY, FORECASTS, box, config, county, rows, step
@@ -142,6 +143,37 @@ def test_loading_twice_adds_nothing(spark, tmp_path):
         assert spark.read.parquet(str(tmp_path / "raw")).count() == n
 
 
+def test_a_failed_build_leaves_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_table(spark.range(3), path)
+    bad = spark.range(3).selectExpr("if(id = 2, raise_error('broken'), id) as id")
+    for write in (lambda df: write_table(df, path), lambda df: write_clustered(df.selectExpr("id", "1 as part"), path, "part", ["id"])):
+        with pytest.raises(Exception, match="broken"):
+            write(bad)
+        assert rows(spark.read.parquet(path).orderBy("id")) == [(0,), (1,), (2,)]
+    write_table(spark.read.parquet(path).selectExpr("id + 5 as id"), path)  # a table from itself
+    assert rows(spark.read.parquet(path).orderBy("id")) == [(5,), (6,), (7,)]
+
+
+def test_upsert_keeps_the_latest_load_once(spark, tmp_path):
+    path, t = str(tmp_path / "raw"), DAY
+    schema = "fips_code bigint, county string, state string, customers_out bigint, run_start_time timestamp_ntz, total_customers bigint"
+    upsert_outage_raw(spark.createDataFrame([(1, "A", "S", 9, t, 10), (2, "B", "S", 1, t, 10)], schema), path)
+    later = [(1, "A", "S", 3, t, 10), (1, "A", "S", None, t, 10), (3, "C", "S", None, t, None), (3, "C", "S", None, t, None), (None, "x", "S", 1, t, 1), (4, "x", "S", 1, None, 1)]
+    for _ in range(2):
+        upsert_outage_raw(spark.createDataFrame(later, schema), path)
+    assert rows(spark.read.parquet(path).orderBy("fips_code").select("fips_code", "customers_out")) == [(1, 3), (2, 1), (3, None)]
+
+
+def test_unreadable_lines_are_quarantined_whole(spark, tmp_path):
+    csv = tmp_path / "in.csv"
+    bad = ["1001,A,S,twelve,2024-03-10 00:00:00,2", "1001,A,S,1,not-a-time,2", "1001,A,S", "1,A,S,1,2024-03-10 00:00:00,2,9"]
+    csv.write_text("\n".join(["fips_code,county,state,customers_out,run_start_time,total_customers", "1,A,S,,2024-03-10 00:00:00,2", *bad, "2,B,S,1,2024-03-10 00:00:00,"]) + "\n")
+    good, held = read_outage_lines(spark, str(csv))
+    assert [(r.fips_code, r.customers_out) for r in good.orderBy("fips_code").collect()] == [(1, None), (2, 1)]
+    assert sorted(r.line for r in held.collect()) == sorted(bad) and all("in.csv" in r.file for r in held.collect())
+
+
 @pytest.mark.parametrize("line", ["1001,A,S,twelve,2024-03-10 00:00:00,2", "1001,A,S,1,not-a-time,2", "1001,A,S"])
 def test_unreadable_lines_are_refused(spark, tmp_path, line):
     csv = tmp_path / "in.csv"
