@@ -24,7 +24,7 @@ from .common import mapped
 KINDS = ("email", "ip", "card", "phone")
 # What follows the local part of an address; the local part itself is read backwards from the sign.
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-LOCAL = re.compile(r"[A-Za-z0-9._%+-]*\Z")
+LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 # Runs of digits are taken whole, so that a long one is read once. The results are those of the plain patterns.
 IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
@@ -57,7 +57,9 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     if "@" in text:
         end = 0
         for m in DOMAIN.finditer(text):
-            start = LOCAL.search(text, max(end, 0), m.start()).start()
+            start = m.start()
+            while start > end and text[start - 1] in LOCAL:
+                start -= 1
             if start < m.start():
                 found.append((0, start, m.end()))
                 end = m.end()

@@ -75,3 +75,13 @@ def test_awkward_rows_and_empty_tables(spark):
     found = P.extract(awkward(spark)).collect()
     assert len(found) == 12 and all(r["base"] == [] and r["more"] == [] for r in found)
     assert P.extract(none(spark)).count() == 0
+
+
+def test_a_long_run_before_an_address_is_read_once():
+    import time
+
+    from stormledger.llm import pii
+
+    run, began = "a1" * 500_000, time.process_time()
+    assert pii.base_spans(f"{run} x@b.c {run}@d.e @f.g")[:2] == [(0, 1_000_001, 1_000_006), (0, 1_000_007, 2_000_011)]
+    assert time.process_time() - began < 2
