@@ -8,6 +8,7 @@ add no shuffle over the large tables.
 from __future__ import annotations
 
 import re
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,10 @@ CFG = Config(
     ml_max_iterations=10,
 )
 
+# Learners on one 0/1 feature: all rows teach every tree, so that the result is no matter of chance.
+FLAG_CFG = replace(CFG, ml_subsample=1.0, ml_min_tree_child_weight=1, ml_max_iterations=50)
+STRONG_WIND = 30.0
+
 # Added before rounding to 6 digits: means of few-digit values often lie exactly between two
 # roundings, where the summation order would decide.
 NUDGE = 3e-8

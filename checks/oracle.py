@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import re
 
+from stormledger.schemas import MODEL_FEATURES
+
 from . import fixtures as FX
 
 CFG = FX.CFG
@@ -49,6 +51,16 @@ def n(condition: str) -> str:
 
 
 # Named building blocks; each may use those above it.
+# The weighted log loss of held-out rows under margins f0 and f1.
+_LOSS = "2e0 * (" + " + ".join(
+    f"pos{k}_test * ln(1 + exp(-2e0 * f{k})) + neg{k}_test * ln(1 + exp(2e0 * f{k}))" for k in (0, 1)
+) + ") / (pos0_test + neg0_test + pos1_test + neg1_test)"
+_STEPPED = [
+    f"f{k} + {CFG.ml_learn_rate}e0 * 4e0 * (pos{k}_train / (1 + exp(2e0 * f{k})) - neg{k}_train / (1 + exp(-2e0 * f{k})))"
+    f" / (pos{k}_train + neg{k}_train)"
+    for k in (0, 1)
+]
+
 PARTS: dict[str, str] = {
     "fx_counties": FX.duck_sql(FX.COUNTIES),
     "fx_states": FX.duck_sql(FX.STATES),
@@ -219,6 +231,53 @@ PARTS: dict[str, str] = {
         select county_fips, valid_ts, lead_hours, outage_ratio_6h_max as actual_ratio, outage_event as actual_event,
                case when ws10_max_mps > 60e0 then 1e0 else ws10_max_mps / 60e0 end as p
         from training where data_split = 'TEST'""",
+    # One 0/1 feature: trees and logistic regression can only learn a value for either side of it.
+    "one_flag": f"""
+        select county_fips, valid_ts, outage_ratio_6h_max as ratio, outage_event, data_split,
+               cast(ws10_max_mps >= {FX.STRONG_WIND}e0 as bigint) as flag
+        from training""",
+    "flag_means": """
+        select flag, avg(ratio) as v, count(*) as n from one_flag where data_split = 'TRAIN' and ratio is not null group by flag""",
+    # Weights make both classes weigh the same in training rows.
+    "flag_weights": """
+        select outage_event, (select count(*) from one_flag where data_split = 'TRAIN') / (2e0 * count(*)) as w
+        from one_flag where data_split = 'TRAIN' group by outage_event""",
+    "flag_sides": """
+        select flag, data_split, coalesce(sum(w) filter (where outage_event = 1), 0e0) as pos,
+               coalesce(sum(w) filter (where outage_event = 0), 0e0) as neg
+        from one_flag join flag_weights using (outage_event) group by flag, data_split""",
+    "flag_rates": "select flag, pos / (pos + neg) as v from flag_sides where data_split = 'TRAIN'",
+    "flag_counts": f"""
+        select {", ".join(
+            f"coalesce(max({sign}) filter (where flag = {flag} and data_split = '{split}'), 0e0) as {sign}{flag}_{split.lower()}"
+            for sign in ("pos", "neg") for flag in (0, 1) for split in ("TRAIN", "TEST"))}
+        from flag_sides""",
+    # Boosting: each tree adds the step size times the mean gradient of the log loss on its side, until
+    # the loss of the held-out rows falls by less than a hundredth.
+    "flag_boosts": f"""
+        with recursive b(m, f0, f1, best, g0, g1, stopped) as (
+            select 1, f0, f1, {_LOSS}, f0, f1, false
+            from (select c.*, 2e0 * pos0_train / (pos0_train + neg0_train) - 1 as f0,
+                         2e0 * pos1_train / (pos1_train + neg1_train) - 1 as f1 from flag_counts c)
+            union all
+            select m + 1, f0, f1, case when stops then best else least(best, loss) end,
+                   case when stops or loss >= best then g0 else f0 end,
+                   case when stops or loss >= best then g1 else f1 end, stops
+            from (select *, best - loss < 0.01e0 * greatest(loss, 0.01e0) as stops
+                  from (select *, {_LOSS} as loss
+                        from (select m, best, g0, g1, {_STEPPED[0]} as f0, {_STEPPED[1]} as f1, c.*
+                              from b, flag_counts c where m < {FX.FLAG_CFG.ml_max_iterations} and not stopped))))
+        select flag, 1 / (1 + exp(-2e0 * case flag when 1 then g1 else g0 end)) as v
+        from (select * from b order by m desc limit 1), (values (0), (1)) s(flag)""",
+    "flag_ratio_scores": """
+        select county_fips, valid_ts, flag, ratio as actual_ratio, v as p
+        from one_flag join flag_means using (flag) where data_split = 'TEST'""",
+    "flag_rate_scores": """
+        select county_fips, valid_ts, outage_event as actual_event, round(v, 3) as p
+        from one_flag join flag_rates using (flag) where data_split = 'TEST'""",
+    "flag_boost_scores": """
+        select county_fips, valid_ts, outage_event as actual_event, round(v, 3) as p
+        from one_flag join flag_boosts using (flag) where data_split = 'TEST'""",
 }
 
 _NAMES = list(PARTS)
@@ -396,6 +455,37 @@ QUERIES: dict[str, str] = {
         from scores, (select distinct p as t from scores) group by t""",
     "threshold_sweep": _sweep(),
 }
+# Fixed cutoffs of the tiers.
+SEVERE, OUTAGE, HIGH, MEDIUM = 0.15, 0.05, 0.7, 0.3
+_SEVERITY = "case when {0} >= {1}e0 then 'SEVERE' when {0} >= {2}e0 then 'OUTAGE' else 'NORMAL' end"
+QUERIES |= {
+    "train_regressor_flag": QUERIES["evaluate_regression"].replace("from scores", "from flag_ratio_scores"),
+    "train_classifier_flag": QUERIES["evaluate_classification"].replace("scores", "flag_boost_scores"),
+    "train_logistic_flag": QUERIES["evaluate_classification"].replace("scores", "flag_rate_scores"),
+    # All families rank two sides alike, and of equal ones the first is kept.
+    "model_search_flag": QUERIES["evaluate_classification"].replace("scores", "flag_rate_scores"),
+    "predict_regression_flag": f"""
+        select county_fips, valid_ts, round(actual_ratio, 6) as actual_ratio, round(p, 6) as predicted_ratio,
+               {_SEVERITY.format("p", SEVERE, OUTAGE)} as predicted_tier from flag_ratio_scores""",
+    "predict_classification_flag": f"""
+        select county_fips, valid_ts, actual_event, cast(p >= 0.5 as bigint) as predicted_event, p as predicted_probability,
+               {_SEVERITY.format("p", SEVERE, OUTAGE)} as predicted_tier from flag_boost_scores""",
+    "batch_score_flag": """
+        select county_fips, valid_ts, flag as hail_flag, outage_event, data_split, cast(v >= 0.5 as bigint) as predicted_event,
+               round(v, 3) as predicted_probability from one_flag join flag_rates using (flag)""",
+    "ml_risk_view_flag": f"""
+        select county_fips, valid_ts, round(v, 3) as outage_probability,
+               case when round(v, 3) >= {HIGH}e0 then 'HIGH' when round(v, 3) >= {MEDIUM}e0 then 'MEDIUM' else 'LOW' end as ml_risk_tier
+        from one_flag join flag_rates using (flag)""",
+    "feature_importance_flag": "select feature, round(case feature when 'hail_flag' then 1e0 else 0e0 end, 6) as attribution from (values "
+    + ", ".join(f"('{name}')" for name in MODEL_FEATURES) + ") f(feature)",
+    "attribution_flag": """
+        select county_fips, valid_ts, round(p, 6) as raw_output, round(base, 6) as base, round(p - base, 6) as by_flag
+        from flag_ratio_scores, (select sum(n * v) / sum(n) as base from flag_means)""",
+    "attribution_sums": """
+        select county_fips, valid_ts, cast(lead_hours as double) as lead_hours, 0e0 as unexplained
+        from training where data_split = 'TEST'""",
+}
 STORED = {
     "correlation": ["weather_features", "outage_6h_qc", "county_thresholds", "outage_events", "event_coverage", "daily_plan",
                     "lead_performance", "correlations"],

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stormledger.functions import weather as W
 from stormledger.functions.geometry import to_wkt
+from stormledger.operators import attribution as A
 from stormledger.operators import evaluation as E
 from stormledger.operators import models as M
 from stormledger.operators import serving as S
@@ -38,7 +39,7 @@ from stormledger.sources.outages import (
     save_outage_part,
     upsert_outage_raw,
 )
-from stormledger.schemas import BANDS
+from stormledger.schemas import BANDS, MODEL_FEATURES
 from stormledger.storage import scratch_path, stored
 
 from . import fixtures as FX
@@ -168,6 +169,21 @@ class Inputs:
     def model(self, key: str):
         return M.model_kind(key).train(self.stored_training, CFG)
 
+    @property
+    def flagged(self) -> DataFrame:
+        """Training rows whose only feature is a strong wind, 0 or 1: what is learned has a closed form."""
+        return self._once("flagged", lambda: stored(one_flag(self.training), "flagged"))
+
+    def flag_model(self, key: str):
+        return M.model_kind(key).train(self.flagged, FX.FLAG_CFG)
+
+
+def one_flag(training: DataFrame) -> DataFrame:
+    strong = (F.col("ws10_max_mps") >= FX.STRONG_WIND).cast("bigint")
+    nothing = {c: F.lit(None).cast(t) for c, t in training.dtypes if c in MODEL_FEATURES and c not in ("hail_flag", "lead_hours")}
+    # The lead stays as a key under its own name, and is missing as a feature.
+    return training.withColumns(nothing | {"hail_flag": strong, "lead_hours": F.lit(None).cast("bigint")})
+
 
 def _csv(i: Inputs) -> DataFrame:
     path = scratch_path(i.spark, "outages_csv")
@@ -287,6 +303,44 @@ def _batch(i: Inputs, key: str) -> DataFrame:
     return M.batch_score(M.load_model(path), i.stored_training, M.model_kind(key).category)
 
 
+def _flag_predictions(i: Inputs, key: str) -> DataFrame:
+    """Predictions for TEST rows; an iterative fit's probability to three digits, as far as it converges."""
+    if M.model_kind(key).category == "regressor":
+        return E.predict_regression(i.flag_model(key), i.flagged)
+    rows = E.predict_classification(i.flag_model(key), i.flagged)
+    return rows.withColumn("predicted_probability", F.round("predicted_probability", 3))
+
+
+def _flag_rows(i: Inputs, key: str) -> DataFrame:
+    rows = _flag_predictions(i, key).drop("lead_hours")
+    return rounded(rows, *[c for c in ("actual_ratio", "predicted_ratio") if c in rows.columns])
+
+
+def _flag_metrics(i: Inputs, key: str) -> DataFrame:
+    rows = stored(_flag_predictions(i, key), "flag_predictions")
+    regressor = M.model_kind(key).category == "regressor"
+    return _all_rounded((E.evaluate_regression if regressor else E.evaluate_classification)(rows))
+
+
+def _flag_batch(i: Inputs) -> DataFrame:
+    path = scratch_path(i.spark, "flag_model")
+    M.save_model(i.flag_model("logistic"), path)
+    rows = M.batch_score(M.load_model(path), i.flagged, "classifier")
+    return rows.withColumn("predicted_probability", F.round("predicted_probability", 3))
+
+
+def _flag_attributions(i: Inputs, key: str) -> DataFrame:
+    rows = A.attributions(i.flag_model(key), i.flagged).withColumn("by_flag", F.col("attribution")[MODEL_FEATURES.index("hail_flag")])
+    return rounded(rows.select("county_fips", "valid_ts", "raw_output", "base", "by_flag"), "raw_output", "base", "by_flag")
+
+
+def _attribution_sums(i: Inputs) -> DataFrame:
+    """What attributions and base leave of the prediction, over all features: nothing."""
+    rows = A.attributions(i.model("regressor"), i.stored_training)
+    left = F.col("raw_output") - F.col("base") - F.aggregate("attribution", F.lit(0.0), lambda a, v: a + v)
+    return rows.select("county_fips", "valid_ts", F.col("lead_hours").cast("double").alias("lead_hours"), F.round(F.abs(left), 6).alias("unexplained"))
+
+
 BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     # Sources and sinks.
     "load_outage_csv": _csv,
@@ -346,6 +400,21 @@ BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "predict_classification": lambda i: _predict(i, "logistic"),
     "batch_score": lambda i: _batch(i, "logistic"),
     "ml_risk_view": lambda i: E.ml_risk_view(_batch(i, "logistic")),
+    "global_explanation": lambda i: A.global_explanation(i.model("regressor"), i.stored_training),
+    "attribution_sums": _attribution_sums,
+    # Learned from one 0/1 feature, where class rates, means and the boosting recurrence are closed forms.
+    "train_regressor_flag": lambda i: _flag_metrics(i, "regressor"),
+    "train_classifier_flag": lambda i: _flag_metrics(i, "classifier"),
+    "train_logistic_flag": lambda i: _flag_metrics(i, "logistic"),
+    "model_search_flag": lambda i: _flag_metrics(i, "automl"),
+    "predict_regression_flag": lambda i: _flag_rows(i, "regressor"),
+    "predict_classification_flag": lambda i: _flag_rows(i, "classifier"),
+    "batch_score_flag": lambda i: _flag_batch(i).select(
+        "county_fips", "valid_ts", "hail_flag", "outage_event", "data_split", "predicted_event", "predicted_probability"
+    ),
+    "ml_risk_view_flag": lambda i: E.ml_risk_view(_flag_batch(i)),
+    "feature_importance_flag": lambda i: rounded(E.feature_importance(i.flag_model("regressor"), i.flagged), "attribution"),
+    "attribution_flag": lambda i: _flag_attributions(i, "regressor"),
     # Runs.
     "pipeline_runs": _pipeline_runs,
 }

@@ -14,7 +14,7 @@ from stormledger.sources.forecasts import explode_forecast, forecast_scan, save_
 
 SF = f"{DATA}/sf0.001"
 LEARNED = {"train_regressor", "train_classifier", "train_logistic", "model_search", "feature_importance",
-           "predict_regression", "predict_classification", "batch_score", "ml_risk_view"}
+           "predict_regression", "predict_classification", "batch_score", "ml_risk_view", "global_explanation"}
 
 
 def explain(df) -> str:
