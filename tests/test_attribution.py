@@ -21,16 +21,23 @@ from .test_models import CFG, data  # noqa: F401
 N = 6
 
 
+def plain(node):
+    """A fitted tree as (value, feature, cut, sides, training weight)."""
+    count, stats = node.impurityStats().count(), list(node.impurityStats().stats())
+    if not node.subtreeDepth():
+        return (node.prediction() if len(stats) == 3 else stats[1] / sum(stats), None, None, (), count)
+    split = node.split()
+    return (None, split.featureIndex(), split.threshold(), (plain(node.leftChild()), plain(node.rightChild())), count)
+
+
 def expected(node, x, known):
     """A tree's output with only some features known: unknown ones take both ways by training weight."""
-    if not node.subtreeDepth():
-        stats = list(node.impurityStats().stats())
-        return node.prediction() if len(stats) == 3 else stats[1] / sum(stats)
-    split, sides = node.split(), (node.leftChild(), node.rightChild())
-    if split.featureIndex() in known:
-        return expected(sides[int(x[split.featureIndex()] > split.threshold())], x, known)
-    counts = [s.impurityStats().count() for s in sides]
-    return sum(c * expected(s, x, known) for c, s in zip(counts, sides)) / sum(counts)
+    value, feature, cut, sides, count = node
+    if not sides:
+        return value
+    if feature in known:
+        return expected(sides[int(x[feature] > cut)], x, known)
+    return sum(s[4] * expected(s, x, known) for s in sides) / count
 
 
 def by_definition(value):
@@ -67,7 +74,7 @@ def test_equals_all_subsets(rows, learner, options):
     paths = A.tree_paths(model)
     x = np.array([r.features.toArray() for r in rows.limit(4).collect()])
     got = A.shapley(paths, x)
-    roots = [t._java_obj.rootNode() for t in model.trees]
+    roots = [plain(t._java_obj.rootNode()) for t in model.trees]
     scale = [1 / len(roots)] * len(roots) if learner is RandomForestClassifier else model.treeWeights
     for row, values in zip(x, got):
         value = lambda known: sum(w * expected(t, row, known) for w, t in zip(scale, roots))
