@@ -43,8 +43,8 @@ class Settings:
     percent: int = 75
     # Values in a sketch. Two sets at the bound share about 0.75 * k of them (standard deviation 3.5 at 64).
     k: int = 64
-    # Pairs whose estimate is below are not verified: over four standard deviations under the bound.
-    least_percent: int = 50
+    # Pairs whose estimate is below are not verified: over six standard deviations under the bound.
+    least_percent: int = 40
     # Pivots for each list and turn, and turns before what is left is decided by differences from a pivot.
     pivots: int = 4
     turns: int = 2
