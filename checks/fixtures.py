@@ -96,6 +96,10 @@ from {lineitem}
 """
 
 
+# Half diagonal of the tilted cells, in degrees.
+TILT = 0.15
+
+
 def _fill(text: str, days: str, hours: str, ts: str) -> str:
     # Arguments hold at most one level of nested parentheses.
     arg = r"\(((?:[^()]|\((?:[^()]|\([^()]*\))*\))*)\)"
@@ -141,6 +145,30 @@ def counties(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def bent_counties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counties as an L each: their box without its upper right quarter."""
+
+    def corner(lon: str, lat: str):
+        return f"named_struct('lon', cast({lon} as double), 'lat', cast({lat} as double))"
+
+    x, y = "(lon0 + lon1) / 2", "(lat0 + lat1) / 2"
+    ring = ", ".join(
+        corner(*p)
+        for p in (("lon0", "lat0"), ("lon1", "lat0"), ("lon1", y), (x, y), (x, "lat1"), ("lon0", "lat1"))
+    )
+    return _run(spark, sf_dir, COUNTIES).select(
+        "county_fips_code", "state_fips_code", "county_name", F.expr(f"array(array({ring}))").alias("county_geom")
+    )
+
+
+def tilted_cells(cells: DataFrame) -> DataFrame:
+    """Cells as squares that stand on a corner, TILT degrees from their centre."""
+    corners = ", ".join(
+        f"named_struct('lon', lon + {dx} * {TILT}D, 'lat', lat + {dy} * {TILT}D)" for dx, dy in ((1, 0), (0, 1), (-1, 0), (0, -1))
+    )
+    return cells.withColumn("cell_geom", F.expr(f"array(array({corners}))"))
+
+
 def states(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, sf_dir, STATES)
 

@@ -41,7 +41,23 @@ def r6(*columns: str) -> str:
     return ", ".join(f"round({c}, 6) as {c.split('.')[-1]}" for c in columns)
 
 
+def end_distance(p: str, t: int, q: str) -> str:
+    """Squared metres from an end of side p to side q."""
+    gx, gy = f"({p}x + {t} * {p}dx - {q}x)", f"({p}y + {t} * {p}dy - {q}y)"
+    place = f"greatest(0e0, least(1e0, ({gx} * {q}dx + {gy} * {q}dy) / ({q}dx * {q}dx + {q}dy * {q}dy)))"
+    return f"pow({gx} - {place} * {q}dx, 2) + pow({gy} - {place} * {q}dy, 2)"
+
+
+def parted(p: str, q: str) -> str:
+    """Whether the line through side p has the ends of side q on both its sides."""
+    ends = [f"({p}dx * ({q}y + {t} * {q}dy - {p}y) - {p}dy * ({q}x + {t} * {q}dx - {p}x))" for t in (0, 1)]
+    return f"{ends[0]} * {ends[1]} < 0"
+
+
+BOX_DISTANCE = "pow(gap_x, 2) + pow(gap_y, 2)"
+CROSSING = f"{parted('p', 'q')} and {parted('q', 'p')}"
 RADIUS2 = f"{CFG.spatial_buffer_m}e0 * {CFG.spatial_buffer_m}e0".replace(".0e0", "e0")
+CORNERS_NEAR = "least(" + ", ".join(end_distance(p, t, q) for p, q in ("pq", "qp") for t in (0, 1)) + f") <= {RADIUS2}"
 WIND = "(ws10_max_mps >= p90_ws10 or ws925_max_mps >= p90_ws925 or shear_0_6km_max_mps >= p90_shear)"
 HAIL = f"(t700_c_min <= {CFG.hail_temp_threshold}e0 and tp6_mm_max >= {CFG.hail_precip_threshold}e0)"
 
@@ -78,6 +94,17 @@ PARTS: dict[str, str] = {
     "pairs": f"""
         select w.cell_id, w.lon, w.lat, c.county_fips_code as county_fips, c.county_name
         from cells w join targets c on {distance("0.125e0")} <= {RADIUS2}""",
+    # An L is two boxes that overlap; each row is a side of a tilted cell beside one of them.
+    "tilted_sides": f"""
+        select w.cell_id, c.county_fips_code as county_fips, part, bx0, by0, bx1, by1, w.lon as mx, w.lat as my,
+               111320e0 * cos(radians(w.lat)) as kx, 111320e0 as ky,
+               w.lon + d.a * {FX.TILT}e0 as x0, w.lat + d.b * {FX.TILT}e0 as y0, w.lon + d.c * {FX.TILT}e0 as x1, w.lat + d.d * {FX.TILT}e0 as y1
+        from cells w join (
+            select county_fips_code, 0 as part, lon0 as bx0, lat0 as by0, lon1 as bx1, (lat0 + lat1) / 2e0 as by1 from targets
+            union all
+            select county_fips_code, 1, lon0, lat0, (lon0 + lon1) / 2e0, lat1 from targets
+        ) c on w.lon between bx0 - 5 and bx1 + 5 and w.lat between by0 - 5 and by1 + 5
+        cross join (values (1, 0, 0, 1), (0, 1, -1, 0), (-1, 0, 0, -1), (0, -1, 1, 0)) d(a, b, c, d)""",
     "aoi": f"""
         select cell_id, lon, lat from cells w
         where exists (select 1 from targets c where {distance("0e0")} <= {RADIUS2})""",
@@ -371,6 +398,25 @@ QUERIES: dict[str, str] = {
     "cell_features": "select * from cell_wx",
     "aoi_filter": "select * from aoi",
     "spatial_join": "select cell_id, county_fips from pairs",
+    "spatial_join_outlines": f"""
+        select cell_id, county_fips, bool_or(centre) as centre_near
+        from (
+            select cell_id, county_fips, max({BOX_DISTANCE}) <= {RADIUS2} as centre,
+                   bool_or({CORNERS_NEAR} or ({CROSSING})) or bool_or(w.inside or w.around) as near
+            from (
+                select w.*, w.x0 between bx0 and bx1 and w.y0 between by0 and by1 as inside,
+                       abs(s.x0) + abs(s.y0) <= {FX.TILT}e0 as around,
+                       (w.x0 - w.mx) * kx as px, (w.y0 - w.my) * ky as py, (w.x1 - w.x0) * kx as pdx, (w.y1 - w.y0) * ky as pdy,
+                       s.x0 * kx as qx, s.y0 * ky as qy, (s.x1 - s.x0) * kx as qdx, (s.y1 - s.y0) * ky as qdy,
+                       greatest(0e0, bx0 - w.mx, w.mx - bx1) * kx as gap_x, greatest(0e0, by0 - w.my, w.my - by1) * ky as gap_y
+                from tilted_sides w, lateral (
+                    select unnest([
+                        {{'x0': bx0, 'y0': by0, 'x1': bx1, 'y1': by0}}, {{'x0': bx1, 'y0': by0, 'x1': bx1, 'y1': by1}},
+                        {{'x0': bx1, 'y0': by1, 'x1': bx0, 'y1': by1}}, {{'x0': bx0, 'y0': by1, 'x1': bx0, 'y1': by0}}]) as e
+                ) l, lateral (select e.x0 - w.mx as x0, e.y0 - w.my as y0, e.x1 - w.mx as x1, e.y1 - w.my as y1) s
+            ) w
+            group by cell_id, county_fips, part)
+        group by cell_id, county_fips having bool_or(near)""",
     "weather_features": f"select {WX_ROUNDED} from wx",
     "outage_6h_qc": f"select * replace ({r6('outage_ratio_6h_mean')}) from blocks",
     "six_hour_grid": "select * from grid",

@@ -19,6 +19,7 @@ from stormledger.operators.events import event_marks, outage_events
 from stormledger.operators.master import outage_vs_weather
 from stormledger.operators.plan import daily_plan, order_plan, six_hour_wind_hail_counts
 from stormledger.operators.skill import correlations, lead_performance, threshold_sweep
+from stormledger.operators.outlines import outline_pairs
 from stormledger.operators.spatial import aoi_filter, cells_of, near_pairs
 from stormledger.operators.thresholds import county_thresholds
 from stormledger.operators.training import split_rows, training_data
@@ -357,6 +358,9 @@ BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "cell_features": lambda i: cell_features(i.steps, "cell_id"),
     "aoi_filter": lambda i: aoi_filter(cells_of(i.forecasts), i.pairs),
     "spatial_join": lambda i: i.pairs.select("cell_id", "county_fips"),
+    "spatial_join_outlines": lambda i: outline_pairs(
+        FX.tilted_cells(cells_of(i.forecasts)), FX.bent_counties(i.spark, i.sf_dir), CFG
+    ).select("cell_id", "county_fips", "centre_near"),
     "weather_features": _stored_weather,
     "county_thresholds": lambda i: county_thresholds(i.weather, CFG),
     # Outages, and both together.

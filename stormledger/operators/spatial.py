@@ -13,11 +13,14 @@ from pyspark.sql import functions as F
 from ..config import Config
 from ..functions import geometry as G
 from ..sources.counties import target_counties
+from .outlines import outline_pairs
 
 
 def cells_of(forecasts: DataFrame) -> DataFrame:
-    """The distinct grid cells. Reads three narrow columns and combines before shuffling."""
-    return forecasts.select("cell_id", "lon", "lat").distinct()
+    """The distinct grid cells, with their outlines where forecasts carry `cell_geom`. Reads narrow columns
+    and combines before shuffling."""
+    outline = [c for c in ("cell_geom",) if c in forecasts.columns]
+    return forecasts.select("cell_id", "lon", "lat", *outline).distinct()
 
 
 def county_regions(counties: DataFrame, cfg: Config) -> DataFrame:
@@ -74,7 +77,9 @@ def in_bounds(box: tuple[float, float, float, float] | None) -> Column:
 
 def near_pairs(cells: DataFrame, counties: DataFrame, cfg: Config) -> DataFrame:
     """(cell, county) pairs whose box lies within the buffer; `centre_near` tells whether the
-    centre does too."""
+    centre does too. Cells with outlines of their own are taken by these, others as squares."""
+    if "cell_geom" in cells.columns:
+        return outline_pairs(cells, counties, cfg)
     regions = county_regions(counties, cfg)
     grow_lon, grow_lat = _reach(cfg)
     tiles = regions.select(
