@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame
 from ..config import Config
 from ..operators import evaluation as E
 from ..operators import serving as S
+from ..operators.attribution import global_explanation
 from ..operators.blocks import outage_6h_qc, six_hour_grid
 from ..operators.coverage import event_coverage, wx_lead_flags
 from ..operators.events import outage_events
 from ..operators.master import outage_vs_weather
-from ..operators.models import model_kind
+from ..operators.models import batch_score, model_kind
 from ..operators.plan import daily_plan
 from ..operators.skill import correlations, lead_performance, threshold_sweep
 from ..operators.thresholds import county_thresholds
@@ -108,11 +109,15 @@ def evaluation_steps(cfg: Config, run_id: str) -> list[Step]:
         def importance(ws: Workspace, key=key) -> DataFrame:
             return E.tagged(E.feature_importance(ws.model(key), ws.get("training_data")), key, run_id)
 
+        def explained(ws: Workspace, key=key) -> DataFrame:
+            return E.tagged(global_explanation(ws.model(key), ws.get("training_data")), key, run_id)
+
         def measured(ws: Workspace, key=key, source=predictions, measure=None) -> DataFrame:
             return E.tagged(measure(ws.get(source)), key, run_id)
 
         steps.append(Step(predictions, "table", scored, plannable=False))
         steps.append(Step(f"feature_importance_{key}", "table", importance, plannable=False))
+        steps.append(Step(f"explanation_{key}", "table", explained, plannable=False))
         steps += [
             Step(f"{name}_{key}", "table", partial(measured, measure=measure), plannable=False)
             for name, measure in tables.items()
@@ -120,6 +125,23 @@ def evaluation_steps(cfg: Config, run_id: str) -> list[Step]:
     return steps
 
 
+def scoring_steps(cfg: Config, run_id: str) -> list[Step]:
+    """Every row scored by every model, and its tier: what a daily run hands on, not only the TEST rows."""
+    steps: list[Step] = []
+    for key in cfg.ml_models:
+
+        def scores(ws: Workspace, key=key) -> DataFrame:
+            rows = batch_score(ws.model(key), ws.get("training_data"), model_kind(key).category)
+            return E.tagged(rows, key, run_id)
+
+        def risk(ws: Workspace, key=key) -> DataFrame:
+            return E.ml_risk_view(ws.get(f"scores_{key}"))
+
+        steps.append(Step(f"scores_{key}", "table", scores, plannable=False))
+        steps.append(Step(f"ml_risk_{key}", "table", risk, plannable=False, shown=True))
+    return steps
+
+
 def serving_steps() -> list[Step]:
     """What dashboards read: stored, so that it outlives the session that made it."""
 

@@ -7,7 +7,7 @@ import pytest
 
 from stormledger.plans.runs import ordered_phases, recent_runs, run_phases, run_setup
 from stormledger.plans.workspace import Workspace
-from stormledger.schemas import OUTAGE_RAW
+from stormledger.schemas import MODEL_FEATURES, OUTAGE_RAW
 from stormledger.sources.forecasts import forecast_scan, save_forecasts
 from stormledger.sources.outages import load_outage_csv, read_outage_lines, read_outage_part, save_outage_raw, upsert_outage_raw
 from stormledger.sources.tables import write_clustered, write_table
@@ -73,6 +73,13 @@ def test_full_run_then_resume(spark, inputs):
         row = spark.read.parquet(f"{root}/{name}").first()
         assert row.model_type in name and row.run_id.startswith("ml-")
     assert spark.read.parquet(f"{root}/threshold_sweep_regressor").count() == 6
+    every = spark.read.parquet(f"{root}/training_data").count()
+    for key, column in (("regressor", "predicted_ratio"), ("logistic", "predicted_probability")):
+        scores = spark.read.parquet(f"{root}/scores_{key}")
+        assert scores.where(f"{column} is not null").count() == every > spark.read.parquet(f"{root}/predictions_{key}").count()
+        assert other.read.parquet(f"{root}/ml_risk_{key}").where("ml_risk_tier is not null").count() == every
+        assert spark.table(f"ml_risk_{key}").count() == every
+        assert spark.read.parquet(f"{root}/explanation_{key}").select("feature").distinct().count() == len(MODEL_FEATURES)
     log = recent_runs(spark, root).collect()
     assert sorted(r.phase for r in log) == ["correlation", "ml", "serving"]
     assert all(r.status == "SUCCESS" and r.steps_failed == 0 and r.started_at <= r.completed_at for r in log)
@@ -80,6 +87,8 @@ def test_full_run_then_resume(spark, inputs):
 
     again = run_phases(spark, CFG, root, forecasts, ["correlation"], resume=True)
     assert {(r.kind, r.status) for r in again} == {("table", "SKIPPED"), ("view", "OK")}
+    scoring = run_phases(spark, CFG, root, forecasts, ["ml-score"], resume=True)
+    assert {(r.step, r.status) for r in scoring} == {(f"{n}_{k}", "SKIPPED") for n in ("scores", "ml_risk") for k in CFG.ml_models}
     # Other settings: nothing may be skipped.
     changed = config(**{**CFG.__dict__, "outage_threshold": 0.2})
     other = run_phases(spark, changed, root, forecasts, ["correlation"], resume=True)
