@@ -85,3 +85,24 @@ def test_a_long_run_before_an_address_is_read_once():
     run, began = "a1" * 500_000, time.process_time()
     assert pii.base_spans(f"{run} x@b.c {run}@d.e @f.g")[:2] == [(0, 1_000_001, 1_000_006), (0, 1_000_007, 2_000_011)]
     assert time.process_time() - began < 2
+
+
+def test_parts_of_thousands_of_zeros_are_still_small_numbers(spark):
+    """Beyond 4,300 digits Python reads no number: the whole query failed on such a text."""
+    zeros = "0" * 5_000
+    texts = [f"at {zeros}1.2.3.{zeros}255, a@b.org", f"at {zeros}256.2.3.4", f"1.2.3.{zeros}", f"{zeros}.{zeros}1000.1.1", "1.2.3.4"]
+    spans = [[(0, 10_014, 10_021), (1, 3, 10_012)], [], [(1, 0, 5_006)], [], [(1, 0, 7)]]
+    found = {r["doc_id"]: r["base"] for r in P.extract(documents(spark, list(enumerate(texts)))).collect()}
+    assert [[tuple(b) for b in found[i]] for i in range(len(texts))] == spans
+
+
+def test_long_runs_without_a_digit_are_scanned_in_proportion():
+    import time
+
+    import pyarrow as pa
+
+    texts, began = ["b" * 300_000 + " user77x. " + "c" * 300_000, "d\u00e9" * 200_000], time.process_time()
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(texts)], names=["doc_id", "text"])
+    seen = P._scan(batch, P.Settings())["seen"]
+    assert [[m["instance"] for m in s] for s in seen] == [["user77x"], []]
+    assert time.process_time() - began < 5
