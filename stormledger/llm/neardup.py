@@ -53,6 +53,8 @@ class Settings:
     # Sizes, and weights of differences, within this ratio fall into one bucket when pairs are sought by them.
     bucket: float = 1.05
     weights: float = 1.25
+    # Earlier windows that a row sent to a meeting knows of. Pairs that meet more than once for that are counted once.
+    before: int = 8
 
 
 def _sets(batch: pa.RecordBatch, words: int):
@@ -196,6 +198,17 @@ def _cross_pairs(lists: DataFrame, cfg: Settings) -> DataFrame:
     return met.select(F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b")).distinct()
 
 
+def _meetings(rows: DataFrame, member: list[str], side: str, cfg: Settings) -> DataFrame:
+    """(pivot, theirs, item, side): a row for each window a member has room for, with the few `before` it in its order.
+
+    Rows are of one width however long a difference is: all its windows in each row would be their square.
+    """
+    mine = F.transform(F.filter("places", lambda p: p["place"] <= F.col("room")), lambda p: p["item"])
+    each = rows.withColumn("mine", mine).select("pivot", "theirs", *member, "mine", F.posexplode("mine").alias("at", "item"))
+    before = F.slice("mine", F.greatest(F.col("at") - cfg.before + 1, F.lit(1)), F.least(F.col("at"), F.lit(cfg.before)))
+    return each.select("pivot", "theirs", "item", F.struct(*member, before.alias("before")).alias(side))
+
+
 def _by_difference(lists: DataFrame, sources: DataFrame, cfg: Settings) -> DataFrame:
     """Links (a, b) between members of one list in different components: enough of them to join all that belong together.
 
@@ -236,16 +249,14 @@ def _by_difference(lists: DataFrame, sources: DataFrame, cfg: Settings) -> DataF
     # Windows that no other has take room but are no places to meet.
     placed = placed.where("place <= widest and holders > 1").groupBy("pivot", "rep").agg(F.array_sort(F.collect_list(F.struct("place", "item"))).alias("places"))
     placed = stored(placed, "places")
-    mine = F.transform(F.filter("places", lambda p: p["place"] <= F.col("room")), lambda p: p["item"])
-    member = ["rep", "component", "n", "most", "w", "mine"]
-    own = placed.join(held.select("pivot", "rep", "component", "n", "most", "w", "bucket", "room"), ["pivot", "rep"]).withColumn("mine", mine)
-    own = own.select("pivot", F.col("bucket").alias("theirs"), F.struct(*member).alias("y"), F.explode("mine").alias("item"))
-    sought = placed.join(seeking.select("pivot", "rep", "component", "n", "most", "w", "theirs", "room"), ["pivot", "rep"]).withColumn("mine", mine)
-    sought = sought.select("pivot", "theirs", F.struct(*member).alias("x"), F.explode("mine").alias("item"))
+    member = ["rep", "component", "n", "most", "w"]
+    own = held.select("pivot", *member, "room", F.col("bucket").alias("theirs"))
+    own = _meetings(placed.join(own, ["pivot", "rep"]), member, "y", cfg)
+    sought = _meetings(placed.join(seeking.select("pivot", *member, "room", "theirs"), ["pivot", "rep"]), member, "x", cfg)
     once = (F.col("y.w") < F.col("x.w")) | ((F.col("y.w") == F.col("x.w")) & (F.col("y.rep") < F.col("x.rep")))
     fit = (F.col("x.n") <= F.col("y.most")) & (F.col("y.n") <= F.col("x.most")) & (F.col("x.component") != F.col("y.component"))
-    # Of the windows that both have as places, the first makes the pair.
-    here = F.array_intersect("x.mine", "y.mine")[0] == F.col("item")
+    # Nothing both have stands before the first window they meet at, so that one always makes the pair.
+    here = ~F.arrays_overlap("x.before", "y.before")
     met = sought.join(own, ["pivot", "item", "theirs"]).where(once & fit & here).groupBy("x.rep", "y.rep").agg(F.min("pivot").alias("pivot"))
     pairs = stored(met.toDF("x", "y", "pivot"), "pairs")
     # Decided on the differences alone, which are shorter than the sets.

@@ -94,3 +94,17 @@ def test_differences_from_pivots_alone_find_all_links(spark):
     rows = [(i, changed(rnd.choice(bases))) for i in range(140)]
     component = compare(spark, rows, N.Settings(turns=0, short=1))
     assert 2 < len(set(component.values())) < 120
+
+
+def test_rows_sent_to_meetings_do_not_widen_with_the_differences(spark):
+    """Each held all windows of its member: 9 GB of them on half a GB of documents."""
+    cfg = N.Settings()
+    schema = "pivot long, rep long, w long, theirs int, room int, places array<struct<place: int, item: long>>"
+    places = {1: [(k + 1, 1000 + k) for k in range(300)], 2: [(k + 1, 1000 + k) for k in range(0, 300, 3)], 3: []}
+    rows = [(9, rep, 5, 0, 250, held) for rep, held in places.items()]
+    found = N._meetings(spark.createDataFrame(rows, schema), ["rep", "w"], "x", cfg).collect()
+    assert len(found) == 250 + 84
+    for r in found:
+        mine = [item for place, item in places[r["x"]["rep"]] if place <= 250]
+        at = mine.index(r["item"])
+        assert r["x"]["before"] == mine[max(0, at - cfg.before) : at]
